@@ -43,17 +43,16 @@ def fill_sentinel(df: DataFrame, value, cols: Sequence[str] | None = None) -> Da
 
 def lookup_key(*parts: str, unknown: Mapping[str, str] | None = None, optional: Sequence[str] = ()) -> Column:
     """Join the parts with ", ". A part equal to its ``unknown`` value and a null ``optional``
-    part are left out; any other null part makes the key null."""
+    part are left out; any other null part makes the key null. The last part always stays."""
     unknown = unknown or {}
 
-    def piece(part: str, first: bool) -> Column:
-        text = F.col(part) if first else F.concat(F.lit(", "), F.col(part))
+    def piece(part: str) -> Column:
+        text = F.concat(F.col(part), F.lit(", "))
         if part in unknown:
             text = F.when(F.col(part) == unknown[part], F.lit("")).otherwise(text)
         return F.coalesce(text, F.lit("")) if part in optional else text
 
-    joined = F.concat(*[piece(p, i == 0) for i, p in enumerate(parts)])
-    return F.regexp_replace(joined, "^, ", "")
+    return F.concat(*[piece(p) for p in parts[:-1]], F.col(parts[-1]))
 
 
 def is_cover(original: Column, has_album: Column, in_family: Column) -> Column:

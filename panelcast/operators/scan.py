@@ -198,46 +198,58 @@ def _one_pass(base: DataFrame, out: DataFrame, timeline: Timeline, values) -> Da
 STATS = ("min", "max", "avg", "median")
 
 
-def expanding_stats(
-    df: DataFrame,
-    value: str,
-    keys,
-    order,
-    index: str,
-    names: Mapping[str, str],
-    chunk_rows: int = CHUNK_ROWS,
-) -> DataFrame:
-    """Min, max, mean and exact interpolated median of ``value`` up to and including each row.
-
-    ``index`` is the 0-based position of the row in its key (``running_index``) and cuts the key
-    into chunks of ``chunk_rows``. Each later chunk starts from the value counts of the rows
-    before it. Of those counts only the ones that the median can still reach are kept apart;
-    the rest is folded into one entry at either end, so a frame holds about two chunks of values
-    however long the history is. ``names`` maps min/max/avg/median to output columns. Rows with a
-    null key come back with null stats.
+@dataclass(frozen=True)
+class Expanding:
+    """Stats of ``value`` over the rows of a key so far.
+
+    ``index`` is the column with the 0-based position of the row in its key (``running_index``);
+    ``names`` maps min/max/avg/median to output columns.
+    """
+
+    value: str
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    index: Column
+    names: Mapping[str, str]
+
+
+def expanding_stats(df: DataFrame, *passes: Expanding, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """Min, max, mean and exact interpolated median of a value up to and including each row.
+
+    The position in the key cuts it into chunks of ``chunk_rows``. Each later chunk starts from
+    the value counts of the rows before it. Of those counts only the ones that the median can
+    still reach are kept apart; the rest is folded into one entry at either end, so a frame holds
+    about two chunks of values however long the history is. Rows with a null key get null stats.
+    Each pass reads only columns of ``df``; as that is read a few times, it should be a scan of
+    stored data.
     """
-    keys = list(keys)
-    chunked = df.withColumn("__chunk", F.floor(F.col(index) / chunk_rows))
-    start = _chunk_start(chunked, value, keys, chunk_rows)
-    rows = chunked.withColumns(
-        {"__v": F.col(value), "__n": F.when(F.col(value).isNotNull(), F.lit(1).cast("long")),
-         "__sum": F.col(value), "__row": F.lit(1)}
+    out = df
+    for one in passes:
+        out = _expand(df, out, one, chunk_rows)
+    return out
+
+
+def _expand(base: DataFrame, out: DataFrame, one: Expanding, chunk_rows: int) -> DataFrame:
+    keys, value, columns = list(one.keys), one.value, out.columns
+    chunk = F.floor(one.index / chunk_rows).alias("__chunk")
+    start = _chunk_start(base.select(*keys, value, chunk), value, keys, chunk_rows)
+    rows = out.select(
+        "*", chunk, F.col(value).alias("__v"), F.col(value).alias("__sum"), F.lit(1).alias("__row"),
+        F.when(F.col(value).isNotNull(), F.lit(1).cast("long")).alias("__n"),
     )
-    w = Window.partitionBy(*keys, "__chunk").orderBy("__row", *order)
-    frame = _so_far(w)
+    frame = _so_far(Window.partitionBy(*keys, "__chunk").orderBy("__row", *one.order))
     stats = {
         "min": F.min("__v").over(frame),
         "max": F.max("__v").over(frame),
         "avg": F.sum("__sum").over(frame) / F.sum("__n").over(frame),
         "median": F.percentile("__v", F.lit(0.5), F.coalesce("__n", F.lit(1))).over(frame),
     }
+    named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
     return (
         rows.unionByName(start, allowMissingColumns=True)
-        .select("*", *[stats[s].alias(name) for s, name in names.items()])
+        .select("*", *[stats[s].alias(f"__{s}_so_far") for s in one.names])
         .where("__row = 1")
-        .select(*df.columns, *[
-            F.when(F.col(index).isNotNull(), F.col(name)).alias(name) for name in names.values()
-        ])
+        .select(*columns, *[F.when(named, F.col(f"__{s}_so_far")).alias(n) for s, n in one.names.items()])
     )
 
 
