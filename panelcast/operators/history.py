@@ -66,19 +66,20 @@ def scope_history(df: DataFrame, scopes: Mapping[str, str], day: str, id_col: st
 def play_gaps(
     df: DataFrame, scopes: Mapping[str, Sequence[str]], entity: str, day: str, id_col: str,
     number: str | None = None, count: str = "num_times_played_song", gap: str = "gap_song",
-    number_gap: str = "show_gap_song",
+    number_gap: str = "show_gap_song", grains: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Per occurrence and scope: its count so far and the days since the one before.
 
     ``scopes`` maps a name suffix to the columns that are grouped by besides ``entity``. With
-    ``number``, the gap in occasions is added too (over all scopes' occasions).
+    ``number``, the gap in occasions is added too. ``grains``: see ``fitting_grains``.
     """
     passes = []
     for suffix, cols in scopes.items():
         values = {f"{count}{suffix}": running_index(1), f"__last{suffix}": lag(day)}
         if number and not cols:
             values["__last_number"] = lag(number)
-        passes.append((by_day([*cols, entity], day, id_col), values))
+        grain = (grains or {}).get(suffix, "day")
+        passes.append((by_day([*cols, entity], day, id_col, grain=grain), values))
     out = scan(df, *passes)
     gaps = {f"{gap}{s}": F.datediff(day, f"__last{s}") for s in scopes}
     if number:

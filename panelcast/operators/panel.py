@@ -81,6 +81,7 @@ def panel_recency(
     panel: DataFrame, scopes: Mapping[str, Sequence[str]], entity: str, day: str, id_col: str,
     played: str = "played", count: str = "num_times_played_song", gap: str = "gap_song",
     since: str = "time_last_played_song", extra: Mapping[str, Mapping[str, str]] | None = None,
+    grains: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """What was known before each row, per scope: days since the last occurrence, occurrences so
     far, gap stats as of the last one (days since it while there is no gap yet).
@@ -88,6 +89,7 @@ def panel_recency(
     The panel's own ``count`` and gap-stat columns hold the values as of each occurrence and are
     replaced. They change together, at occurrences only, so one struct per scope is carried.
     ``extra`` carries more: a 0/1 column -> {column to read: name to write}.
+    ``grains``: see ``fitting_grains``.
     """
     stats = [f"{s}_{gap}" for s in STATS]
     carried, passes = {}, []
@@ -106,7 +108,8 @@ def panel_recency(
                     F.col(flag) == 1, F.struct(*[F.col(c).alias(n) for c, n in columns.items()])
                 )
                 values[f"__past_{flag}"] = last_before(f"__own_{flag}")
-        passes.append((by_day([*cols, entity], day, id_col), values))
+        grain = (grains or {}).get(suffix, "day")
+        passes.append((by_day([*cols, entity], day, id_col, grain=grain), values))
     replaced = {f"{c}{s}" for s in scopes for c in [count, *stats]}
     read = {c for columns in (extra or {}).values() for c in columns}
     kept = [c for c in panel.columns if c not in replaced]

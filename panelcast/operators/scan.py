@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 20  # ids inside one date are cut into blocks of 2**20
+CHUNK_LIMIT = 2**16  # rows of one key that may share a year or a month
 CHUNK_ROWS = 4096  # rows of one key that share a growing frame in expanding_stats
 
 
@@ -38,18 +39,45 @@ class Timeline:
     chunk: tuple[Column, ...]
 
 
-def by_day(keys, day: str, *ids: str, block_bits: int | None = BLOCK_BITS) -> Timeline:
-    """Order by ``day``, then ``ids``; the first id is an integer and cuts long days into blocks.
+def by_day(
+    keys, day: str, *ids: str, grain: str = "day", block_bits: int | None = BLOCK_BITS
+) -> Timeline:
+    """Order by ``day``, then ``ids``, cut into years, months or days (``grain``).
 
-    With at most one row per key and id, no chunk exceeds 2**block_bits rows. Where ids are
-    scattered (hashes), pass ``block_bits=None``: chunks are then whole days.
+    At grain "day" the first id, an integer, also cuts long days into blocks: with at most one row
+    per key and id, no chunk exceeds 2**block_bits rows. Where ids are scattered (hashes), pass
+    ``block_bits=None``. Coarser grains mean fewer chunks to carry; see ``fitting_grains``.
     """
-    chunk = [F.col(day)]
-    if ids and block_bits is not None:
-        chunk.append(F.shiftright(F.col(ids[0]), block_bits))
+    if grain != "day":
+        chunk = [F.trunc(day, grain)]
+    else:
+        chunk = [F.col(day)]
+        if ids and block_bits is not None:
+            chunk.append(F.shiftright(F.col(ids[0]), block_bits))
     return Timeline(tuple(keys), (day, *ids), tuple(chunk))
 
 
+def fitting_grains(
+    df: DataFrame, scopes: Mapping[str, tuple[str, ...]], day: str, limit: int = CHUNK_LIMIT
+) -> dict[str, str]:
+    """The coarsest grain for each scope at which no chunk has more than ``limit`` rows of ``df``.
+
+    One small job; a row per scope comes back. Where even months are too long it is "day".
+    """
+    largest = []
+    for scope, cols in scopes.items():
+        months = df.groupBy(*cols, F.trunc(day, "month").alias("__month")).count()
+        years = months.groupBy(*cols, F.trunc("__month", "year")).agg(
+            F.sum("count").alias("year"), F.max("count").alias("month")
+        )
+        largest.append(years.agg(F.lit(scope).alias("scope"), F.max("year"), F.max("month")))
+    found = reduce(DataFrame.unionAll, largest).collect()
+    return {
+        scope: "year" if (year or 0) <= limit else "month" if month <= limit else "day"
+        for scope, year, month in found
+    }
+
+
 def by_id(keys, id_col: str, block_bits: int = 12) -> Timeline:
     """Order by an integer id without gaps of note (a period number), cut into blocks."""
     return Timeline(tuple(keys), (id_col,), (F.shiftright(F.col(id_col).cast("long"), block_bits),))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def trailing_window(
-    df: DataFrame, entity: str, day: str, aggs: Mapping[str, tuple[str, Column]],
+    df: DataFrame, entity: str, day: str, aggs: Mapping[str, tuple[str, str]],
     months: int = 12, overrides: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """The columns of ``trailing_by_day``, attached to every row."""
@@ -18,29 +18,36 @@ def trailing_window(
 
 
 def trailing_by_day(
-    df: DataFrame, entity: str, day: str, aggs: Mapping[str, tuple[str, Column]],
+    df: DataFrame, entity: str, day: str, aggs: Mapping[str, tuple[str, str]],
     months: int = 12, overrides: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Per (entity, day) of ``df``: aggregates over ``start <= day' < day`` of the same entity, ``start`` being ``months``
     calendar months before the row's day (``overrides``: other lengths by year of the row).
 
-    ``aggs`` maps a name to ("mean" or "sum", value); a mean without values is null, a sum is 0.
+    ``aggs`` maps a name to ("mean" or "sum", SQL value); a mean without values is null, a sum is 0.
     Values must be whole numbers. Rows are first summed per (entity, day), so a window holds one
-    row per calendar day at most; the row's own day is subtracted from a range that ends with it.
+    row per calendar day at most. A stretch is the difference of two running totals, which Spark
+    extends row by row; a sliding frame would be summed anew at each row.
     """
     overrides = overrides or {}
     parts = {}
     for i, (_, value) in enumerate(aggs.values()):
-        parts[f"__s{i}"] = F.coalesce(F.sum(value.cast("long")), F.lit(0)).alias(f"__s{i}")
-        parts[f"__n{i}"] = F.count(value).alias(f"__n{i}")
+        whole = F.expr(value).cast("long")
+        parts[f"__s{i}"] = F.coalesce(F.sum(whole), F.lit(0)).alias(f"__s{i}")
+        parts[f"__n{i}"] = F.count(whole).alias(f"__n{i}")
     daily = df.groupBy(entity, day).agg(*parts.values())
 
-    def before(part: str, length: int) -> Column:
+    def over(frame: str, part: str) -> Column:
         return F.expr(
-            f"sum({part}) OVER (PARTITION BY `{entity}` ORDER BY `{day}` "
-            f"RANGE BETWEEN INTERVAL '{length}' MONTH PRECEDING AND CURRENT ROW) - {part}"
+            f"coalesce(sum({part}) OVER (PARTITION BY `{entity}` ORDER BY `{day}` RANGE BETWEEN {frame}), 0)"
         )
 
+    def before(part: str, length: int) -> Column:
+        start = f"INTERVAL '{length}' MONTH PRECEDING"
+        up_to_day = over("UNBOUNDED PRECEDING AND CURRENT ROW", part) - F.col(part)
+        up_to_start = over(f"UNBOUNDED PRECEDING AND {start}", part) - over(f"{start} AND {start}", part)
+        return up_to_day - up_to_start
+
     lengths = {length: [y for y, m in overrides.items() if m == length]
                for length in sorted(set(overrides.values()) - {months})}
     picked = {}

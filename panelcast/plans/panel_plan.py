@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,7 @@ from panelcast.operators.periods import (
     spine_fill,
     unified_period,
 )
-from panelcast.operators.scan import STATS
+from panelcast.operators.scan import STATS, fitting_grains
 from panelcast.operators.trailing import trailing_by_day
 from panelcast.params import PanelParams
 from panelcast.runtime import cut_lineage
@@ -69,6 +69,17 @@ TOUR_PLAYS = _stat_names("{}_show_gap_last_tour_sng")
 YEAR_JAMS = _stat_names("{}_show_gap_last_year_jam")
 TOUR_JAMS = _stat_names("{}_show_gap_last_tour_jam") | {"median": "median_show_gap_tour_year_jam"}
 
+# The trailing-year aggregates over panel rows.
+TRAILING = {
+    "rate_played_this_year": ("mean", "played"),
+    "rate_jammed_this_year": ("mean", "isjamchart"),
+    "tot_times_played_in_last_year": ("sum", "played"),
+    "tot_times_jammed_in_last_year": ("sum", "isjamchart"),
+    "avg_gap_year": ("mean", "CASE WHEN played = 1 THEN show_gap END"),
+    "avg_jam_gap_year": ("mean", "CASE WHEN isjamchart = 1 THEN show_jam_gap END"),
+}
+
+
 def eligible(shows: DataFrame, params: PanelParams) -> DataFrame:
     """Occasions of the artist that count, with the country where the state is missing."""
     return shows.where(
@@ -130,13 +141,21 @@ def occurrences(
     )
 
 
-def play_features(plays: DataFrame) -> DataFrame:
+def scope_grains(occasions: DataFrame) -> dict[str, str]:
+    """How finely each scope's histories have to be cut: a song has one row per occasion, so the
+    occasions of a scope bound its chunks."""
+    return fitting_grains(occasions, SCOPES, "showdate")
+
+
+def play_features(plays: DataFrame, grains: dict[str, str] | None = None) -> DataFrame:
     """Occurrences with their counts, gaps and expanding gap stats per scope.
 
     ``plays`` should be a stored table: it is read once per scope and stat.
     """
     gaps = cut_lineage(
-        play_gaps(plays, SCOPES, "songid", "showdate", "showid", number="show_nm")
+        play_gaps(
+            plays, SCOPES, "songid", "showdate", "showid", number="show_nm", grains=grains
+        )
     )
     return expanding_by_scope(
         gaps, "songid", "showdate", "showid",
@@ -207,12 +226,12 @@ def attach_plays(frame: DataFrame, plays: DataFrame, jams: DataFrame) -> DataFra
     )
 
 
-def recency_features(frame: DataFrame) -> DataFrame:
+def recency_features(frame: DataFrame, grains: dict[str, str] | None = None) -> DataFrame:
     """Everything known strictly before each row: the five scopes, occasion gaps, jams."""
     shows = {f"{stat}_show_gap_song": f"{stat}_show_gap_song" for stat in STATS}
     jams = {f"{stat}_show_gap_j_song": f"{stat}_show_gap_j_song" for stat in STATS}
     out = panel_recency(
-        frame, SCOPES, "songid", "showdate", "showid",
+        frame, SCOPES, "songid", "showdate", "showid", grains=grains,
         extra={
             "played": {"lst_played_shownum": "__show", "lst_played_yr": "__year", **shows},
             "isjamchart": {
@@ -285,19 +304,6 @@ def album_numbers(albums: DataFrame) -> DataFrame:
     return albums.join(numbers.drop("releasedate"), "albumid", "left")
 
 
-def trailing_aggs() -> dict:
-    """The trailing-year aggregates over panel rows."""
-    played, jammed = F.col("played"), F.col("isjamchart")
-    return {
-        "rate_played_this_year": ("mean", played),
-        "rate_jammed_this_year": ("mean", jammed),
-        "tot_times_played_in_last_year": ("sum", played),
-        "tot_times_jammed_in_last_year": ("sum", jammed),
-        "avg_gap_year": ("mean", F.when(played == 1, F.col("show_gap"))),
-        "avg_jam_gap_year": ("mean", F.when(jammed == 1, F.col("show_jam_gap"))),
-    }
-
-
 def notebook_flag(frame: DataFrame, params: PanelParams) -> DataFrame:
     """Marks, per occasion, the songs most played in the trailing year but not in the last shows."""
     return topk_flag(
@@ -309,31 +315,17 @@ def notebook_flag(frame: DataFrame, params: PanelParams) -> DataFrame:
     )
 
 
-def panel_features(
-    occasions: DataFrame, plays: DataFrame, albums: DataFrame, params: PanelParams
-) -> DataFrame:
-    """The panel with all 99 features, history and next occasion together.
-
-    ``occasions`` (``occasion_features``) and ``plays`` (``occurrences``) are stored tables.
-    """
-    played, jams = cut_lineage(play_features(plays)), cut_lineage(jam_features(plays))
-    frame = cut_lineage(attach_plays(panel_frame(plays, occasions), played, jams))
-    recent = cut_lineage(recency_features(frame))
-    days = trailing_by_day(
-        recent, "songid", "showdate", trailing_aggs(), params.trailing_months,
-        params.trailing_overrides,
+def day_features(recent: DataFrame, plays: DataFrame, albums: DataFrame, params: PanelParams) -> DataFrame:
+    """What depends on song and day only: the trailing year, the newest album, the cover flag."""
+    trailing = trailing_by_day(
+        recent, "songid", "showdate", TRAILING, params.trailing_months, params.trailing_overrides
     )
     released = asof_join(
         recent.select("songid", "showdate").distinct(), album_numbers(albums), ["songid"],
         "showdate", "releasedate", ["releasedate", "album_num"],
     ).drop("releasedate")
-    by_day = days.join(released, ["songid", "showdate"], "left").join(covers(plays), "songid", "left")
-    dated = cut_lineage(recent.join(by_day, ["songid", "showdate"], "left"))
-    out = notebook_flag(dated, params)
-    for key, table in period_lookups(frame, played, jams).items():
-        out = out.join(table, list(key), "left")
-    return out.where("time_since_song_debut > 0").select(
-        "showid", "songid", "is_next", "played", *feature_names()
+    return trailing.join(released, ["songid", "showdate"], "left").join(
+        covers(plays), "songid", "left"
     )
 
 
@@ -352,7 +344,7 @@ def feature_names() -> list[str]:
     names += ["show_jam_gap", "jammed_in_last_year", "n_times_jammed_song"]
     names += [f"{stat}_show_gap_j_song" for stat in STATS]
     names += [*YEAR_JAMS.values(), *TOUR_JAMS.values()]
-    return [*names, *trailing_aggs(), "notebook_flag"]
+    return [*names, *TRAILING, "notebook_flag"]
 
 
 def split_panel(features: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -383,24 +375,68 @@ def analytical_sets(
     )
 
 
-@dataclass
-class PanelTables:
-    """The stored stages of one build."""
+class PanelBuild:
+    """The stages of one preparation run, each stored when it is first asked for."""
+
+    def __init__(
+        self, shows: DataFrame, setlists: DataFrame, songs: DataFrame, albums: DataFrame,
+        params: PanelParams | None = None,
+    ):
+        self.shows, self.setlists, self.songs, self.albums = shows, setlists, songs, albums
+        self.params = params or PanelParams()
+
+    @cached_property
+    def occasions(self) -> DataFrame:
+        return cut_lineage(occasion_features(self.shows, self.params))
 
-    occasions: DataFrame
-    plays: DataFrame
-    features: DataFrame
-    history: DataFrame
-    ahead: DataFrame
+    @cached_property
+    def grains(self) -> dict[str, str]:
+        return scope_grains(self.occasions)
+
+    @cached_property
+    def plays(self) -> DataFrame:
+        return cut_lineage(
+            occurrences(self.occasions, self.setlists, self.songs, self.albums, self.params)
+        )
+
+    @cached_property
+    def play_stats(self) -> DataFrame:
+        return cut_lineage(play_features(self.plays, self.grains))
+
+    @cached_property
+    def jam_stats(self) -> DataFrame:
+        return cut_lineage(jam_features(self.plays))
+
+    @cached_property
+    def frame(self) -> DataFrame:
+        bare = panel_frame(self.plays, self.occasions)
+        return cut_lineage(attach_plays(bare, self.play_stats, self.jam_stats))
+
+    @cached_property
+    def recent(self) -> DataFrame:
+        return cut_lineage(recency_features(self.frame, self.grains))
+
+    @cached_property
+    def dated(self) -> DataFrame:
+        by_day = day_features(self.recent, self.plays, self.albums, self.params)
+        return cut_lineage(self.recent.join(by_day, ["songid", "showdate"], "left"))
+
+    @cached_property
+    def features(self) -> DataFrame:
+        """The panel with all 99 features, history and next occasion together."""
+        out = notebook_flag(self.dated, self.params)
+        for key, table in period_lookups(self.frame, self.play_stats, self.jam_stats).items():
+            out = out.join(table, list(key), "left")
+        return cut_lineage(
+            out.where("time_since_song_debut > 0").select(
+                "showid", "songid", "is_next", "played", *feature_names()
+            )
+        )
 
+    @property
+    def history(self) -> DataFrame:
+        return split_panel(self.features)[0]
 
-def build_tables(
-    shows: DataFrame, setlists: DataFrame, songs: DataFrame, albums: DataFrame,
-    params: PanelParams = PanelParams(),
-) -> PanelTables:
-    """Run the whole preparation and store its stages."""
-    occasions = cut_lineage(occasion_features(shows, params))
-    plays = cut_lineage(occurrences(occasions, setlists, songs, albums, params))
-    features = cut_lineage(panel_features(occasions, plays, albums, params))
-    history, ahead = split_panel(features)
-    return PanelTables(occasions, plays, features, history, ahead)
+    @property
+    def ahead(self) -> DataFrame:
+        return split_panel(self.features)[1]
