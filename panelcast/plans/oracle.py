@@ -287,4 +287,8 @@ def whole(*cols: str, prefix: str = "") -> str:
 
 
 def real(*cols: str, prefix: str = "") -> str:
-    return ", ".join(f"round(CAST({prefix}{c} AS DOUBLE), 6) AS {c}" for c in cols)
+    return ", ".join(f"{six_digits(prefix + c)} AS {c}" for c in cols)
+
+
+def six_digits(c: str) -> str:
+    return f"floor(CAST({c} AS DOUBLE) * 1e6 + 0.5001) / 1e6"

@@ -52,6 +52,11 @@ def forget_builds() -> None:
     _BUILDS.clear()
 
 
+def six_digits(c: str):
+    """Rounded just before the half, so that shares like 41/640 do not depend on the engine."""
+    return F.floor(F.col(c).cast("double") * 1e6 + 0.5001) / 1e6
+
+
 def tidy(df: DataFrame, *names: str) -> DataFrame:
     """Whole numbers as long and doubles with six digits, as in the SQL."""
     kinds = dict(df.dtypes)
@@ -61,7 +66,7 @@ def tidy(df: DataFrame, *names: str) -> DataFrame:
         if kinds[c] in long:
             return F.col(c).cast("long").alias(c)
         if kinds[c] in double or kinds[c].startswith("decimal"):
-            return F.round(F.col(c).cast("double"), 6).alias(c)
+            return six_digits(c).alias(c)
         return F.col(c)
 
     return df.select(*[shape(c) for c in (names or df.columns)])
@@ -242,7 +247,7 @@ def _(spark, sf):
     return tidy(L.min_support(plays, plays, "venueid", "isjamchart", 20), "showid", "songid", "venueid")
 
 
-@query("anti_incremental", sql(f"""SELECT {whole('venueid')}, lookup_id, true AS fresh FROM located
+@query("anti_incremental", sql(f"""SELECT {whole('venueid')}, lookup_id, CAST(1 AS BIGINT) AS fresh FROM located
 WHERE venueid NOT IN (SELECT venueid FROM located WHERE latitude IS NOT NULL AND lookup_id = lookup_id2)
 UNION ALL SELECT CAST(venueid AS BIGINT), NULL, NULL FROM located
 WHERE latitude IS NOT NULL AND lookup_id = lookup_id2"""))
@@ -255,7 +260,7 @@ def _(spark, sf):
     resolved = F.col("latitude").isNotNull()
     fresh = L.unresolved(todo, before, "venueid", resolved)
     merged = L.incremental_merge(
-        before, fresh.select("venueid", "lookup_id", F.lit(True).alias("fresh")), resolved
+        before, fresh.select("venueid", "lookup_id", F.lit(1).alias("fresh")), resolved
     )
     return tidy(merged, "venueid", "lookup_id", "fresh")
 
@@ -609,10 +614,9 @@ def profile(df: DataFrame, group: str, names: list[str]) -> DataFrame:
     The second sum weighs each value by its row's ids, so a value in the wrong row shows.
     """
     weight = (F.col("showid") + 31 * F.col("songid")).cast("decimal(12,0)")
-    kept = df.select(group, "__w", *[F.round(F.col(c).cast("double"), 6).cast("decimal(18,6)").alias(c) for c in names]) \
-        if "__w" in df.columns else df.select(
-            group, weight.alias("__w"),
-            *[F.round(F.col(c).cast("double"), 6).cast("decimal(18,6)").alias(c) for c in names])
+    kept = df.select(
+        group, weight.alias("__w"), *[six_digits(c).cast("decimal(18,6)").alias(c) for c in names]
+    )
     one = [
         F.struct(
             F.lit(c).alias("feature"), F.count(F.lit(1)).alias("n"),
@@ -631,7 +635,7 @@ def profile_sql(source: str, group: str, names: list[str]) -> str:
   count(CASE WHEN v = -1 THEN 1 END) AS missing, CAST(sum(v) AS VARCHAR) AS total,
   CAST(sum(CAST(v * w AS DECIMAL(28, 6))) AS VARCHAR) AS weighted, CAST(min(v) AS DOUBLE) AS low,
   CAST(max(v) AS DOUBLE) AS high FROM (SELECT {group}, CAST(showid + 31 * songid AS DECIMAL(12, 0)) AS w,
-  CAST(round(CAST({c} AS DOUBLE), 6) AS DECIMAL(18, 6)) AS v FROM {source}) GROUP BY {group}"""
+  CAST({Q.six_digits(c)} AS DECIMAL(18, 6)) AS v FROM {source}) GROUP BY {group}"""
         for c in names
     )
 
