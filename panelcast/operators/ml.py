@@ -20,8 +20,16 @@ from pyspark.ml.classification import (
     NaiveBayes,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import Binarizer, VectorAssembler
+from pyspark.ml.feature import (
+    Binarizer,
+    ElementwiseProduct,
+    StandardScaler,
+    VarianceThresholdSelector,
+    VectorAssembler,
+    VectorSlicer,
+)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -88,14 +96,14 @@ def variance_select(train: DataFrame, cols: Sequence[str]) -> list[str]:
 
 
 def importance_select(
-    train: DataFrame, cols: Sequence[str], label: str, seed: int, trees: int = 100, max_depth: int = 10
-) -> list[str]:
-    """The columns whose importance in a forest is at least the mean."""
+    train: DataFrame, label: str, seed: int, trees: int = 100, max_depth: int = 10
+) -> list[int]:
+    """Positions in the feature vector whose importance in a forest is at least the mean."""
     forest = RandomForestClassifier(
         labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=max_depth, seed=seed
-    ).fit(assemble(train, cols, [label]))
+    ).fit(train)
     weights = forest.featureImportances.toArray()
-    return [c for c, w in zip(cols, weights) if w >= weights.mean()]
+    return [i for i, w in enumerate(weights) if w >= weights.mean()]
 
 
 def oversample(df: DataFrame, label: str, ids: Sequence[str], seed: int) -> DataFrame:
@@ -360,11 +368,12 @@ class StumpsModel:
 
 
 def knn_vote(
-    train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, train_ids: Sequence[str],
+    train: DataFrame, test: DataFrame, cols: Sequence[str] | None, label: str, train_ids: Sequence[str],
     ids: Sequence[str], k: int = 5, block_rows: int = 50_000,
 ) -> DataFrame:
     """Mean label of the ``k`` nearest training rows of each test row (ties by training ids).
 
+    Distances are between ``cols``, or between feature vectors if it is None.
     Both sides are cut into blocks of about ``block_rows`` by a hash. Each pair of blocks meets in
     one task, which passes on its ``k`` nearest; these are merged per test row.
     """
@@ -372,11 +381,14 @@ def knn_vote(
     n_test = max(1, -(-test.count() // block_rows))
 
     def blocks(df: DataFrame, keys, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        values = F.array(*[F.col(c).cast("double") for c in cols]).alias("x")
+        if cols is None:
+            values = vector_to_array(FEATURES)
+        else:
+            values = F.array(*[F.col(c).cast("double") for c in cols])
         placed = df.withColumn(own, F.pmod(F.xxhash64(*keys), F.lit(n_own)))
         return placed.select(
-            *keys, *([label] if own == "a" else []), values, own,
-            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).cast("long").alias(other),
+            *keys, *([label] if own == "a" else []), values.alias("x"), own,
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other),
         )
 
     left = blocks(train, train_ids, "a", n_train, "b", n_test)
@@ -417,43 +429,61 @@ def knn_vote(
 
 # --- fit, score, report -----------------------------------------------------------------------
 
-def prepare(
-    train: DataFrame, test: DataFrame, params: ModelParams
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Training rows (balanced) and rows to score, scaled, with the names of the features kept."""
-    ids = [c for c in params.ids if c in train.columns]
+def prepare(train: DataFrame, test: DataFrame, params: ModelParams) -> tuple[DataFrame, DataFrame]:
+    """Training rows (balanced) and rows to score as scaled vectors of the selected features.
+
+    Everything is fitted on the training rows. Missing coordinates of rows to score become -1.
+    """
     train = select_training(cast_features(train, params.outcome), params)
     test = time_split(cast_features(test, params.outcome), params.group, params.start).fillna(-1)
     cols = feature_columns(train, [*params.ids, params.outcome, params.group])
+    keys = ["showid", "songid"]
+    train = cut_lineage(assemble(train, cols, [*keys, params.outcome]))
+    test = assemble(test, cols, keys)
+    steps = []
     if params.scale:
-        train, test = standardise(train, [test], cols)
+        n = train.count()
+        # Spark divides by the sample deviation; this brings it to the population's
+        factor = float(np.sqrt(n / max(n - 1, 1)))
+        steps += [
+            StandardScaler(inputCol=FEATURES, outputCol="scaled", withMean=True, withStd=True),
+            ElementwiseProduct(inputCol="scaled", outputCol="even", scalingVec=Vectors.dense([factor] * len(cols))),
+        ]
     if params.select == "variance":
-        cols = variance_select(train, cols)
-    elif params.select == "importance":
-        cols = importance_select(train, cols, params.outcome, params.seed)
-    keys = [c for c in ids if c in ("showid", "songid")]
-    train = train.select(*keys, params.outcome, *cols)
+        steps.append(
+            VarianceThresholdSelector(
+                featuresCol="even" if steps else FEATURES, outputCol="kept", varianceThreshold=0.0
+            )
+        )
+    if steps:
+        model = Pipeline(stages=steps).fit(train)
+        last = "kept" if params.select == "variance" else "even"
+        train, test = (
+            model.transform(df).select(*[F.col(last).alias(FEATURES) if c == FEATURES else c for c in df.columns])
+            for df in (train, test)
+        )
+    if params.select == "importance":
+        slicer = VectorSlicer(
+            inputCol=FEATURES, outputCol="kept",
+            indices=importance_select(train, params.outcome, params.seed),
+        )
+        train, test = (
+            slicer.transform(df).select(*[F.col("kept").alias(FEATURES) if c == FEATURES else c for c in df.columns])
+            for df in (train, test)
+        )
     if params.balance:
-        train = oversample(train, params.outcome, keys, params.seed)
-    return train, test.select(*keys, *cols), cols
+        train = oversample(cut_lineage(train), params.outcome, keys, params.seed)
+    return cut_lineage(train), test
 
 
 def fit_and_score(train: DataFrame, test: DataFrame, params: ModelParams) -> DataFrame:
     """Probability of the outcome for each row of ``test``: songid, showid, y_pred_proba."""
-    ready, rows, cols = prepare(train, test, params)
+    ready, rows = prepare(train, test, params)
     if params.model == "knn":
-        # copies of a row count as neighbours of their own
-        copies = ready.withColumn("copy", F.monotonically_increasing_id()) if params.balance else ready
-        ids = ["showid", "songid"] + (["copy"] if params.balance else [])
-        return knn_vote(
-            cut_lineage(copies), rows, cols, params.outcome, ids, ["songid", "showid"],
-            params.options.get("n_neighbors", 5),
-        )
-    vectors = cut_lineage(assemble(ready, cols, [params.outcome]))
-    estimator = make_model(params.model, params.options, params.outcome, params.seed)
-    return estimator.fit(vectors).transform(assemble(rows, cols, ["songid", "showid"])).select(
-        "songid", "showid", PROBA
-    )
+        k = params.options.get("n_neighbors", 5)
+        return knn_vote(ready, rows, None, params.outcome, ["showid", "songid"], ["songid", "showid"], k)
+    fitted = make_model(params.model, params.options, params.outcome, params.seed).fit(ready)
+    return fitted.transform(rows).select("songid", "showid", PROBA)
 
 
 def score_report(

@@ -619,19 +619,16 @@ def profile(df: DataFrame, group: str, names: list[str]) -> DataFrame:
     The second sum weighs each value by its row's ids, so a value in the wrong row shows.
     """
     weight = (F.col("showid") + 31 * F.col("songid")).cast("decimal(12,0)")
-    kept = df.select(
-        group, weight.alias("__w"), *[six_digits(c).cast("decimal(18,6)").alias(c) for c in names]
+    values = [six_digits(c).cast("decimal(18,6)").alias(c) for c in names]
+    long = df.select(group, weight.alias("w"), *values).unpivot([group, "w"], names, "feature", "v")
+    return long.groupBy(group, "feature").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("v") == -1).alias("missing"),
+        F.sum("v").cast("string").alias("total"),
+        F.sum((F.col("v") * F.col("w")).cast("decimal(28,6)")).cast("string").alias("weighted"),
+        F.min("v").cast("double").alias("low"),
+        F.max("v").cast("double").alias("high"),
     )
-    one = [
-        F.struct(
-            F.lit(c).alias("feature"), F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col(c) == -1).alias("missing"), F.sum(c).cast("string").alias("total"),
-            F.sum((F.col(c) * F.col("__w")).cast("decimal(28,6)")).cast("string").alias("weighted"),
-            F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high"),
-        )
-        for c in names
-    ]
-    return kept.groupBy(group).agg(F.array(*one).alias("p")).select(group, F.inline("p"))
 
 
 def profile_sql(source: str, group: str, names: list[str]) -> str:
@@ -732,10 +729,11 @@ def _(spark, sf):
 
 
 @query("variance_select", sql(" UNION ALL ".join(
-    f"SELECT '{c}' AS feature FROM ({_ROWS}) WHERE showyear = 1995 HAVING min({c}) < max({c})" for c in _MODEL_FEATURES)))
+    f"SELECT '{c}' AS feature FROM (SELECT *, 1 AS always FROM ({_ROWS})) HAVING min({c}) < max({c})"
+    for c in [*_MODEL_FEATURES, "always"])))
 def _(spark, sf):
-    rows = stored_sets(spark, sf)[0].where("showyear = 1995")
-    kept = M.variance_select(rows, _MODEL_FEATURES)
+    rows = stored_sets(spark, sf)[0].withColumn("always", F.lit(1))
+    kept = M.variance_select(rows, [*_MODEL_FEATURES, "always"])
     return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in kept])).alias("feature"))
 
 
@@ -795,5 +793,6 @@ _score_query("score_neighbours", "knn", n_neighbors=5)
 @query("importance_select")
 def _(spark, sf):
     rows = C.cast_features(M.select_training(stored_sets(spark, sf)[0], MODEL), "played")
-    kept = M.importance_select(rows, _MODEL_FEATURES, "played", MODEL.seed, trees=5, max_depth=5)
+    vectors = cut_lineage(M.assemble(rows, _MODEL_FEATURES, ["played"]))
+    kept = [_MODEL_FEATURES[i] for i in M.importance_select(vectors, "played", MODEL.seed, 5, 5)]
     return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in kept])).alias("feature"))
