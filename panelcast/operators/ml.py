@@ -30,7 +30,7 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import cast_features, feature_columns
@@ -419,12 +419,10 @@ def knn_vote(
         + [f"{n} {types[1][c]}" for c, n in zip(train_ids, near_ids)]
     )
     found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(nearest, schema)
-    # k rows per training block are left of each test row
-    ranked = found.groupBy(*ids).agg(
-        F.slice(F.sort_array(F.collect_list(F.struct("d", *near_ids, "y"))), 1, k).alias("near")
-    )
-    total = F.aggregate("near", F.lit(0.0), lambda acc, n: acc + n["y"])
-    return ranked.select(*ids, (total / F.size("near")).alias(PROBA))
+    # k rows per training block are left of each test row; Spark cuts them to k before the shuffle
+    rank = F.row_number().over(Window.partitionBy(*ids).orderBy("d", *near_ids))
+    kept = found.withColumn("__rank", rank).where(F.col("__rank") <= k)
+    return kept.groupBy(*ids).agg(F.avg("y").alias(PROBA))
 
 
 # --- fit, score, report -----------------------------------------------------------------------

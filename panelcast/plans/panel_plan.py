@@ -89,8 +89,9 @@ def eligible(shows: DataFrame, params: PanelParams) -> DataFrame:
 
 def occasion_features(shows: DataFrame, params: PanelParams) -> DataFrame:
     """One row per eligible occasion: history in its venue and state, run, period, calendar."""
-    history = scope_history(
-        eligible(shows, params), {"venue": "venueid", "state": "state"}, "showdate", "showid"
+    counted = cut_lineage(eligible(shows, params))
+    history = cut_lineage(
+        scope_history(counted, {"venue": "venueid", "state": "state"}, "showdate", "showid")
     )
     in_runs = runs(history, "venueid", "showdate", "showid", params.max_run_gap, params.inherit)
     periods = cut_lineage(
@@ -115,8 +116,8 @@ def occurrences(
         "showid", "showdate", "venueid", "new_tourid", "runid", "state", "showyear"
     )
     rows = shows.join(setlists, "showid")
-    played = keep_first(rows, ["showid", "songid"], params.source_order)
-    with_sets = shows.join(setlists.select("showid"), "showid", "left_semi")
+    played = cut_lineage(keep_first(rows, ["showid", "songid"], params.source_order))
+    with_sets = cut_lineage(played.select("showid", "showdate", "showyear", "new_tourid").distinct())
     numbers = ordinal(with_sets, "showdate", "showid", name="show_nm").drop("showdate")
     years = previous_period(with_sets, "showyear", "prev_year", params.previous_year)
     tours = previous_period(with_sets, "new_tourid", "prev_tourid")
@@ -200,7 +201,7 @@ def panel_occasions(plays: DataFrame, occasions: DataFrame) -> DataFrame:
 def panel_frame(plays: DataFrame, occasions: DataFrame) -> DataFrame:
     """Occasions x songs since each song's first day, the next occasion included."""
     return build_panel(
-        panel_occasions(plays, occasions).drop("showyear"),
+        cut_lineage(panel_occasions(plays, occasions).drop("showyear")),
         debuts(plays, "songid", "showdate", "song_debut_date"),
         "showdate", "song_debut_date", "show_nm",
     )
