@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelcast.llm import simhash
+from panelcast.llm import mixing, simhash, warc
+from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,3 +26,64 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
+@_query
+def op8_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mixed(_table(spark, sf_dir, "documents"), mixing.Mix())
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op8_water_filling"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
+), sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, (CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3.0 WHEN 1 THEN 1.0 ELSE 2.0 END)::DOUBLE AS w,
+    (2 * source_size)::DOUBLE AS cap
+  FROM sources
+), filled AS (
+  SELECT *, 1.5 * sum(source_size) OVER ()::DOUBLE
+      - coalesce(sum(cap) OVER (ORDER BY cap / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+    sum(w) OVER (ORDER BY cap / w, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest
+  FROM weighed
+), level AS (
+  SELECT max(left_over / rest) AS share FROM filled WHERE left_over / rest * w < cap
+), targets AS (
+  SELECT source, source_size, CASE WHEN share IS NULL OR cap <= share * w THEN cap ELSE share * w END AS target
+  FROM weighed CROSS JOIN level
+), parts AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole FROM targets
+), placed AS (
+  SELECT s.doc_id, s.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size AS extra,
+    coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY s.doc_id IS NULL,
+      ('0x' || substr(md5('mix:' || s.doc_id), 1, 15))::BIGINT, s.doc_id, s.size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS past
+  FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
+)
+SELECT doc_id, size, source_size, target,
+  ((whole + CASE WHEN extra > 0 AND 2 * past + size <= 2 * extra THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM placed
+"""
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    records = warc.first_of_equal(_table(spark, sf_dir, "pages"), min_bytes=0)
+    archives = cut_lineage(warc.write_warc(records, folder))
+    read = warc.read_warc(archives, payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLES["op10_warc"] = """
+WITH own AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+first AS (SELECT hex, min(page_id) AS first FROM own GROUP BY hex)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(own.hex, 5 * (i // 4)::INT + 1, 5))::BIGINT >> (15 - 5 * (i % 4))::INT) & 31) + 1)::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM own JOIN first ON own.hex = first.hex
+"""
