@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelcast.llm import mixing, simhash, warc
+from panelcast.llm import mixing, simhash, substring, warc
 from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +88,33 @@ SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
   CASE WHEN page_id > first THEN first END AS refers_to
 FROM own JOIN first ON own.hex = first.hex
 """
+
+
+@_query
+def op6_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.without_repeats(_table(spark, sf_dir, "documents"), substring.Repeats())
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op6_super_kmers"] = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), placed AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i, len(words) AS n FROM split
+), windows AS (
+  SELECT doc_id, i, n, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 49 FOLLOWING)) AS w
+  FROM placed
+), whole AS (
+  SELECT doc_id, i, w FROM windows WHERE i + 50 <= n
+), first AS (
+  SELECT w, min(doc_id) AS first FROM whole GROUP BY w
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM whole JOIN first USING (w) WHERE doc_id > first
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n_kept
+  FROM placed ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id
+)
+SELECT s.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0))::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
+"""
