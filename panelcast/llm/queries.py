@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import mixing, simhash, substring, warc
+from panelcast.llm import langid, mixing, simhash, substring, toxicity, warc
 from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _held_out(parts: int, held: int):
+    """Whether a document is kept out of training; one without id is."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % parts == held, F.lit(True))
+
+
+@_query
+def op2_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~_held_out(4, 2)))
+    return langid.identify(docs, model).select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 @_query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
@@ -118,3 +130,13 @@ SELECT s.doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n_kept, 0
   sha256(coalesce(kept, '')) AS kept_sha256
 FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
 """
+
+
+@_query
+def op4_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs.where(~_held_out(5, 0)).select("doc_id", "text").join(labels, "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
