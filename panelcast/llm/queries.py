@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import langid, mixing, secret_scan, simhash, substring, toxicity, warc
+from panelcast.llm import decontam, langid, mixing, secret_scan, simhash, substring, toxicity, warc
 from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +146,9 @@ def op4_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(_table(spark, sf_dir, "documents"), secret_scan.ForestParams())
     return found.select("doc_id", "start", F.sha2("value", 256).alias("value_sha256"), "probability", "is_secret")
+
+
+@_query
+def op5_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "overlap", "answer")
