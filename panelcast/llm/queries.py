@@ -135,8 +135,7 @@ FROM split s LEFT JOIN kept k ON s.doc_id = k.doc_id
 @_query
 def op4_subword_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(docs.where(~_held_out(5, 0)).select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.fit(docs.where(~_held_out(5, 0)), _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).select(
         "doc_id", _held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )

@@ -7,15 +7,21 @@ shares most n-grams with the word it stands for, and so most of its vector.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_STRIP = bytes(range(33, 48)) + bytes(range(58, 65)) + bytes(range(91, 97)) + bytes(range(123, 127))
-_CACHE = 400_000  # words whose value a task keeps
+from panelcast.llm.words import mix, slices, utf8, word_bounds, word_hashes
+
+# A-Z are lower-cased; punctuation counts inside words only; other bytes stay
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[65:91] = np.arange(97, 123)
+_FOLD[:33] = _FOLD[127] = 32
+_MARK = np.zeros(256, bool)
+_MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 @dataclass(frozen=True)
@@ -41,38 +47,59 @@ class Subwords:
     params: SubwordParams
 
 
-def subwords(word: bytes, params: SubwordParams) -> list[int]:
-    """Buckets of a word and its n-grams, lower-cased, without punctuation around it."""
-    bare = b"<" + word.lower().strip(_STRIP) + b">"
-    grams = [bare] + [bare[i : i + n] for n in range(params.shortest, params.longest + 1) for i in range(len(bare) - n + 1)]
-    return [_fnv(g) % params.buckets for g in grams]
-
-
-def _fnv(gram: bytes) -> int:
-    h = 0xCBF29CE484222325
-    for b in gram:
-        h = (h ^ b) * 0x100000001B3 & 0xFFFFFFFFFFFFFFFF
-    return h ^ h >> 32
-
-
-def train(texts: list[str], labels: np.ndarray, params: SubwordParams = SubwordParams()) -> Subwords:
-    """Fit n-gram vectors and softmax by Adam on all ``texts`` at a time."""
-    counted = [{k: len(list(g)) for k, g in groupby(sorted(t.encode().split()))} for t in texts]
-    found: dict[bytes, int] = {}
-    for words in counted:
-        for w in words:
-            found[w] = found.get(w, 0) + 1
-    used = {w: i for i, w in enumerate(sorted(w for w, n in found.items() if n >= params.least_texts))}
+def stream(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Folded bytes with a space before each text and at the end, and where each text begins."""
+    out = np.full(len(data) + len(at), 32, np.uint8)
+    text = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    out[np.arange(len(data)) + text + 1] = _FOLD[data]
+    mark, gap = _MARK[out], out == 32
+    edge = mark.copy()
+    edge[1:-1] &= gap[:-2] | gap[2:] | mark[:-2] | mark[2:]
+    out[edge] = 32
+    return out, at + np.arange(1, len(at) + 1)
+
+
+def gram_buckets(text: np.ndarray, n: int, params: SubwordParams) -> np.ndarray:
+    """The bucket of the n bytes at each place of a stream."""
+    h = np.full(max(len(text) - n + 1, 0), n, np.uint64)
+    for k in range(n):
+        h = h * _STEP + text[k : k + len(h)]
+    return (mix(h) % np.uint64(params.buckets)).astype(np.int32)
+
+
+def word_buckets(hashes: np.ndarray, params: SubwordParams) -> np.ndarray:
+    return (mix(hashes ^ _STEP) % np.uint64(params.buckets)).astype(np.int32)
+
+
+def train(column: pa.Array, labels: np.ndarray, params: SubwordParams = SubwordParams()) -> Subwords:
+    """Fit n-gram vectors and softmax by Adam on all texts at a time."""
+    text_bytes, at = stream(*utf8(column))
+    starts, ends, before = word_bounds(text_bytes, at)
+    hashes = word_hashes(text_bytes, starts, ends)
+    text = np.repeat(np.arange(len(at) - 1), np.diff(before))
+    words, first, word = np.unique(hashes, return_index=True, return_inverse=True)
+    cell, amount = np.unique(text * len(words) + word, return_counts=True)
+    frequent = np.bincount(cell % len(words), minlength=len(words)) >= params.least_texts
+    number = np.cumsum(frequent) - 1
+    share = (amount / np.maximum(np.diff(before), 1)[cell // len(words)])[frequent[cell % len(words)]]
+    cell = cell[frequent[cell % len(words)]]
+    text, word = cell // len(words), number[cell % len(words)]
+    starts, ends, words = starts[first[frequent]], ends[first[frequent]], words[frequent]
+    n_words, n_texts = len(words), len(at) - 1
+    gram, of_word = [word_buckets(words, params)], [np.arange(n_words)]
+    for n in range(params.shortest, params.longest + 1):
+        count = np.maximum(ends - starts + 3 - n, 0)
+        of = np.repeat(np.arange(n_words), count)
+        place = np.repeat(starts - 1 - (np.cumsum(count) - count), count) + np.arange(len(of))
+        gram.append(gram_buckets(text_bytes, n, params)[place])
+        of_word.append(of)
+    gram, of_word = np.concatenate(gram), np.concatenate(of_word)
+    per_word = np.bincount(of_word, minlength=n_words).astype(np.float32)[:, None]
+    share = share.astype(np.float32)[:, None]
     rng = np.random.default_rng(params.seed)
     vectors = rng.normal(0, 0.1, (params.buckets, params.dims)).astype(np.float32)
     top = rng.normal(0, 0.1, (params.dims, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    grams = [subwords(w, params) for w in used]
-    gram = np.array([g for gs in grams for g in gs], int)
-    of_word = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-    per_word = np.bincount(of_word, minlength=len(used)).astype(np.float32)[:, None]
-    cells = [(i, used[w], n / sum(c.values())) for i, c in enumerate(counted) for w, n in c.items() if w in used]
-    text, word, share = (np.array(x) for x in zip(*cells)) if cells else (np.zeros(0, int),) * 3
     target = np.eye(2, dtype=np.float32)[labels]
     weight = (0.5 / np.maximum(np.bincount(labels, minlength=2), 1))[labels].astype(np.float32)[:, None]
 
@@ -81,13 +108,13 @@ def train(texts: list[str], labels: np.ndarray, params: SubwordParams = SubwordP
 
     state = [np.zeros_like(v) for v in (vectors, vectors, top, top, bias, bias)]
     for t in range(1, params.steps + 1):
-        of = summed(vectors[gram], of_word, len(used)) / np.maximum(per_word, 1)
-        mean = summed(of[word] * share[:, None].astype(np.float32), text, len(texts)) * np.float32(params.scale)
+        of = summed(vectors[gram], of_word, n_words) / np.maximum(per_word, 1)
+        mean = summed(of[word] * share, text, n_texts) * np.float32(params.scale)
         logits = mean @ top + bias
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         slope = (odds / odds.sum(axis=1, keepdims=True) - target) * weight
         back = (slope @ top.T) * np.float32(params.scale)
-        back = summed(back[text] * share[:, None].astype(np.float32), word, len(used)) / np.maximum(per_word, 1)
+        back = summed(back[text] * share, word, n_words) / np.maximum(per_word, 1)
         gradients = (summed(back[of_word], gram, params.buckets), mean.T @ slope, slope.sum(axis=0))
         for k, (v, g) in enumerate(zip((vectors, top, bias), gradients)):
             g = g + params.decay * v
@@ -98,53 +125,55 @@ def train(texts: list[str], labels: np.ndarray, params: SubwordParams = SubwordP
     return Subwords(value.astype(np.float32), float(bias[1] - bias[0]), params)
 
 
-def fit(labelled: DataFrame, params: SubwordParams = SubwordParams()) -> Subwords:
-    """Train on a bounded sample of (doc_id, text, toxic): about ``rows_per_class`` rows of each class.
+def fit(docs: DataFrame, labels: DataFrame, params: SubwordParams = SubwordParams()) -> Subwords:
+    """Train on a bounded sample of ``docs`` (doc_id, text, …) with ``labels`` (doc_id, toxic, …).
 
-    Rows are chosen by a hash of doc_id. Rows without text, label or doc_id do not count, nor do
-    labels other than 0 and 1. Without rows of both classes every score is the share of class 1, or
-    0.5 if there are none at all.
+    About ``rows_per_class`` rows of each class are chosen by a hash of doc_id; only their ids meet
+    the texts. Rows without text, label or doc_id do not count, nor do labels other than 0 and 1, and
+    an id labelled twice counts as toxic. Without rows of both classes every score is the share of
+    class 1, or 0.5 if there are none at all.
     """
-    rows = labelled.where("text IS NOT NULL AND doc_id IS NOT NULL AND toxic IN (0, 1)").where(F.length("text") <= params.most_chars)
-    sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    short = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").where(F.length("text") <= params.most_chars)
+    marks = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    marked = marks.join(short.select("doc_id").distinct(), "doc_id")
+    sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:
         bias = {(): 0.0, (0,): -30.0, (1,): 30.0}[tuple(sizes)]
         return Subwords(np.zeros(params.buckets, np.float32), bias, params)
     share = F.when(F.col("toxic") == 1, min(1.0, params.rows_per_class / sizes[1])).otherwise(min(1.0, params.rows_per_class / sizes[0]))
     drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(params.seed)), F.lit(1 << 30)) < share * (1 << 30)
-    sample = rows.where(drawn).select("doc_id", F.col("toxic").cast("int"), "text").toArrow()
+    # at most some thousand ids, whatever the input
+    sample = short.select("doc_id", "text").join(F.broadcast(marked.where(drawn)), "doc_id").toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    return train(sample["text"].to_pylist(), sample["toxic"].to_numpy().astype(int), params)
-
-
-class _Values(dict):
-    """Mean value of a word's n-grams, kept for the words met last."""
+    return train(sample["text"].combine_chunks(), sample["toxic"].to_numpy().astype(int), params)
 
-    def __init__(self, model: Subwords):
-        super().__init__()
-        self.model = model
 
-    def __missing__(self, word: bytes) -> float:
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = value = float(self.model.value[subwords(word, self.model.params)].mean())
-        return value
+def logits(data: np.ndarray, at: np.ndarray, model: Subwords) -> np.ndarray:
+    """Log odds of each text: the mean over its words of the mean over their n-grams."""
+    text, at = stream(data, at)
+    starts, ends, before = word_bounds(text, at)
+    total = model.value[word_buckets(word_hashes(text, starts, ends), model.params)].astype(float)
+    count = np.ones(len(starts))
+    for n in range(model.params.shortest, model.params.longest + 1):
+        sums = np.concatenate([[0.0], np.cumsum(model.value[gram_buckets(text, n, model.params)], dtype=float)])
+        grams = np.maximum(ends - starts + 3 - n, 0)
+        total += sums[np.minimum(starts - 1 + grams, len(sums) - 1)] - sums[np.minimum(starts - 1, len(sums) - 1)]
+        count += grams
+    sums = np.concatenate([[0.0], np.cumsum(total / count)])
+    return (sums[before[1:]] - sums[before[:-1]]) / np.maximum(np.diff(before), 1) + model.bias
 
 
 def score(docs: DataFrame, model: Subwords) -> DataFrame:
     """(doc_id, score) of each row of ``docs`` (doc_id, text, …): the softmax's share of class 1.
 
-    Null and empty texts have no words and get the score of the bias alone.
+    Null texts and texts without words get the score of the bias alone.
     """
 
     def run(batches):
-        values = _Values(model)
         for batch in batches:
-            logits = []
-            for text in batch.column(1):
-                words = (text.as_py() or "").encode().split()
-                logits.append(sum(map(values.__getitem__, words)) / max(len(words), 1) + model.bias)
-            shares = 1 / (1 + np.exp(-np.clip(np.array(logits, float), -500, 500)))
+            data, at = utf8(batch.column(1))
+            odds = [logits(data[at[a] : at[b]], at[a : b + 1] - at[a], model) for a, b in slices(at, 1 << 20)]
+            shares = 1 / (1 + np.exp(-np.clip(np.concatenate(odds or [np.zeros(0)]), -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(shares)], ["doc_id", "score"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")

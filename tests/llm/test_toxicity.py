@@ -1,10 +1,12 @@
 import random
+import re
 
 import numpy as np
 import pytest
 
 from panelcast.llm import toxicity
 from panelcast.llm.toxicity import SubwordParams
+from panelcast.llm.words import word_hashes
 
 DOCS = "doc_id long, text string, toxic int, score double, n string"
 SMALL = SubwordParams(buckets=1 << 14)
@@ -23,7 +25,12 @@ def rows(seed, n, bad=BAD):
 @pytest.fixture(scope="module")
 def model(spark):
     noise = [(1, None, 1, 0.5, "x"), (2, "la", None, 0.5, "x"), (None, "mi", 1, 0.5, "x"), (3, "to", 7, 0.5, "x")]
-    return toxicity.fit(spark.createDataFrame([*rows(1, 900), *noise], DOCS), SMALL)
+    return fitted(spark, [*rows(1, 900), *noise])
+
+
+def fitted(spark, data):
+    docs = spark.createDataFrame(data, DOCS)
+    return toxicity.fit(docs.drop("toxic"), docs.select("doc_id", "toxic", "text"), SMALL)
 
 
 def scored(spark, data, model):
@@ -47,23 +54,24 @@ def test_odd_texts(spark, model):
     assert toxicity.score(spark.createDataFrame([], DOCS), model).collect() == []
 
 
-def test_scores_do_not_depend_on_the_word_cache(spark, model, monkeypatch):
-    data = list(rows(4, 20))
-    want = scored(spark, data, model)
-    values = toxicity._Values(model)
-    monkeypatch.setattr(toxicity, "_CACHE", 3)
+def test_scores_equal_the_definition(spark, model):
+    """Mean over words of the mean over the word itself and its 3- to 5-grams, with marks at its ends."""
+    data = [(i, t, 0, 0.5, "x") for i, t in enumerate(["Ab", "x", "Great-Aunt's; naïve!!", "a b  c\n\td", "### idiot%%% ,", "é", "  lead", "###"])]
+    got = scored(spark, data, model)
     for i, text, *_ in data:
-        words = text.encode().split()
-        assert 1 / (1 + np.exp(-sum(map(values.__getitem__, words)) / len(words) - model.bias)) == pytest.approx(want[i])
+        words = [w for w in re.sub(r"(?<![a-z0-9\x80-\uffff])[!-/:-@\[-`{-~]|[!-/:-@\[-`{-~](?![a-z0-9\x80-\uffff])", " ", text.lower()).split()]
+        means = []
+        for w in words:
+            b = np.frombuffer(b" " + w.encode() + b" ", np.uint8)
+            own = word_hashes(b, np.array([1]), np.array([len(b) - 1]))
+            buckets = [toxicity.word_buckets(own, SMALL), *(toxicity.gram_buckets(b, n, SMALL) for n in (3, 4, 5))]
+            means.append(model.value[np.concatenate(buckets)].mean())
+        odds = sum(means) / max(len(words), 1) + model.bias
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-odds)), rel=1e-4), text
 
 
 def test_one_class_or_none(spark):
     for labels, score in ((set(), 0.5), ({0}, 0.0), ({1}, 1.0)):
         data = [r for r in rows(3, 30) if r[2] in labels]
-        model = toxicity.fit(spark.createDataFrame(data, DOCS), SMALL)
+        model = fitted(spark, data)
         assert scored(spark, [(1, "x", 0, 0.5, "x")], model)[1] == pytest.approx(score)
-
-
-def test_n_grams_of_a_word():
-    assert toxicity.subwords(b"Ab!", SMALL) == toxicity.subwords(b"ab", SMALL)
-    assert len(toxicity.subwords(b"abc", SMALL)) == 1 + 3 + 2 + 1
