@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import decontam, langid, mixing, secret_scan, simhash, substring, toxicity, warc
+from panelcast.llm import ann, decontam, langid, mixing, secret_scan, simhash, substring, toxicity, warc
 from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,8 @@ def op9_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "cosine", "overlap", "answer")
+
+
+@_query
+def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)[0]
