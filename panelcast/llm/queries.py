@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import ann, decontam, langid, mixing, secret_scan, simhash, substring, toxicity, warc
+from panelcast.llm import ann, decontam, langid, mixing, preference, secret_scan, simhash, substring, toxicity, warc
 from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -156,3 +156,56 @@ def op5_latent_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)[0]
+
+
+@_query
+def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each conversation against itself with an earlier answer as the last one."""
+    held = preference.turns_of(_table(spark, sf_dir, "conversations"))
+    pairs = held.select("conv_id", F.col("turns").alias("chosen"), preference.rejected_turns(F.col("turns")).alias("rejected"))
+    spans = {
+        c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))))
+        for c in ("chosen_spans", "rejected_spans")
+    }
+    return preference.preferences(pairs).withColumns(spans).withColumn("prompt_turns", F.col("prompt_turns").cast("long"))
+
+
+ORACLES["op1_preferences"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), answers AS (
+  SELECT conv_id, i AS last, lag(text) OVER (PARTITION BY conv_id ORDER BY i) AS earlier,
+    row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) AS r
+  FROM turns WHERE role = 'assistant'
+), pairs AS (
+  SELECT t.*, last, CASE WHEN i = last THEN coalesce(earlier, '') ELSE text END AS other, last IS NULL OR i <= last AS has_other
+  FROM turns t LEFT JOIN (FROM answers WHERE r = 1) a USING (conv_id)
+), prefix AS (
+  SELECT conv_id, coalesce(min(i) FILTER (NOT has_other OR text <> other), count(*) + 1) - 1 AS prompt_turns
+  FROM pairs GROUP BY conv_id
+), sides AS (
+  SELECT conv_id, i, i <= prompt_turns AS shared, true AS chosen, role, text FROM pairs JOIN prefix USING (conv_id)
+  UNION ALL
+  SELECT conv_id, i, false, false, role, other FROM pairs JOIN prefix USING (conv_id) WHERE has_other AND i > prompt_turns
+), placed AS (
+  SELECT *, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS rendered,
+    sum(length(role) + length(text) + 13) OVER (PARTITION BY conv_id, shared, chosen ORDER BY i) AS stop
+  FROM sides
+), merged AS (
+  SELECT conv_id,
+    string_agg(rendered, '' ORDER BY i) FILTER (shared) AS prompt,
+    string_agg(rendered, '' ORDER BY i) FILTER (chosen AND NOT shared) AS chosen,
+    string_agg(rendered, '' ORDER BY i) FILTER (NOT chosen) AS rejected,
+    string_agg((stop - length(text) - 8)::BIGINT || '-' || stop::BIGINT, ',' ORDER BY i)
+      FILTER (chosen AND NOT shared AND role = 'assistant') AS chosen_spans,
+    string_agg((stop - length(text) - 8)::BIGINT || '-' || stop::BIGINT, ',' ORDER BY i)
+      FILTER (NOT chosen AND role = 'assistant') AS rejected_spans
+  FROM placed GROUP BY conv_id
+)
+SELECT conv_id, prompt_turns::BIGINT AS prompt_turns, coalesce(prompt, '') AS prompt, coalesce(chosen, '') AS chosen,
+  coalesce(chosen_spans, '') AS chosen_spans, coalesce(rejected, '') AS rejected, coalesce(rejected_spans, '') AS rejected_spans,
+  chosen IS NOT NULL OR rejected IS NOT NULL AS differ
+FROM merged JOIN prefix USING (conv_id)
+"""
