@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from panelcast.llm.words import mix, slices, utf8
 
@@ -175,12 +176,13 @@ def has_letter(text: str | None) -> bool:
     return any(map(str.isalpha, text or ""))
 
 
-def identify(docs: DataFrame, model: LanguageCode) -> DataFrame:
+def identify(docs: DataFrame, model: LanguageCode, rows: bool = False) -> DataFrame:
     """(doc_id, lang_pred, score, ambiguous) of each row of ``docs`` (doc_id, text, …).
 
     Texts that are null or have no letter, and all texts if no language was learned, are ``und`` with
     score 0, not ambiguous. Equal scores go to the language first in order. ``ambiguous``: the best
     score leads by less than ``ambiguous_margin``. A learned single language gets score 1.
+    With ``rows``, the column ``row`` holds the whole row as it came.
     """
 
     def run(batches):
@@ -203,10 +205,21 @@ def identify(docs: DataFrame, model: LanguageCode) -> DataFrame:
                         pa.array(names[np.where(und, n, best)], pa.string()),
                         pa.array(np.where(und, 0.0, ranked[:, -1])),
                         pa.array((lead < model.params.ambiguous_margin) & ~und),
+                        *(c.slice(first, len(x)) for c in batch.columns[2:]),
                     ],
-                    ["doc_id", "lang_pred", "score", "ambiguous"],
+                    ["doc_id", "lang_pred", "score", "ambiguous", *batch.schema.names[2:]],
                 )
 
-    schema = "doc_id long, lang_pred string, score double, ambiguous boolean"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    own = docs.select(F.col("doc_id").cast("long"), "text", *([F.struct(*docs.columns).alias("row")] if rows else []))
+    made = "doc_id long, lang_pred string, score double, ambiguous boolean"
+    schema = StructType([*StructType.fromDDL(made), *own.schema[2:]])
+    return own.mapInArrow(run, schema)
+
+
+def accepted(docs: DataFrame, model: LanguageCode) -> DataFrame:
+    """The rows of ``docs`` in a learned language that is beyond doubt; texts and columns stay.
+
+    Rejected are texts that are null or have no letter, and ambiguous ones.
+    """
+    return identify(docs, model, rows=True).where("lang_pred <> 'und' AND NOT ambiguous").select("row.*")
 

@@ -69,7 +69,7 @@ def draw(seed: str, doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.lit(":"), doc_id.cast("string"))), 1, 15), 16, 10).cast("long")
 
 
-def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+def mixed(docs: DataFrame, mix: Mix = Mix(), carry: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, source, size, source_size, target, repeats, taken) of every row of ``docs``.
 
     Whole repetitions of a source are taken of all its documents. For the fraction left, documents
@@ -77,15 +77,13 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     taken again if half of it still fits, so a source misses its target by less than half a document.
     Sizes before a document are sums per bin of the draw plus a window inside its bin, so no window
     holds a source. Null source is a source; null and empty texts have size 0; an empty source has
-    target 0. ``taken`` counts words with repetitions.
+    target 0. ``taken`` counts words with repetitions. Columns named in ``carry`` come along; they are
+    read from ``docs`` again rather than stored, so ``docs`` should be a table or a stored stage.
     """
     bin_of = F.shiftright(draw(mix.seed, F.col("doc_id")), DRAW_BITS - mix.bin_bits).cast("int")
     bin_of = F.coalesce(bin_of, F.lit(1 << mix.bin_bits))
-    sized = cut_lineage(
-        docs.select(
-            F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), bin_of.alias("bin")
-        )
-    )
+    measured = [F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), bin_of.alias("bin")]
+    sized = cut_lineage(docs.select(*measured))
     bins = cut_lineage(sized.groupBy("source", "bin").agg(F.sum("size").alias("bin_size")))
     sources = bins.groupBy("source").agg(F.sum("bin_size").alias("source_size"))
     targets = water_filled(sources, mix).select(F.col("source").alias("s"), "source_size", "target")
@@ -100,7 +98,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     )
     # one bin of each source is cut by the fraction; documents of the others need no order
     here = F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b"))
-    rows = sized.join(edges, here)
+    wide = docs.select(*measured, *[F.col(c).alias(f"_{c}") for c in carry]) if carry else sized
+    rows = wide.join(edges, here)
     cut = (F.col("extra") >= F.col("low")) & (F.col("extra") < F.col("low") + F.col("bin_size"))
     order = Window.partitionBy("source", "bin").orderBy(
         F.col("doc_id").isNull(), draw(mix.seed, F.col("doc_id")), "doc_id", "size"
@@ -110,5 +109,6 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     outside = rows.where(~cut).withColumn("again", (F.col("low") + F.col("bin_size") <= F.col("extra")).cast("long"))
     repeats = F.col("whole") + F.when(F.col("extra") > 0, F.col("again")).otherwise(0)
     columns = ["doc_id", "source", "size", "source_size", "target", repeats.alias("repeats")]
+    columns += [F.col(f"_{c}").alias(c) for c in carry]
     out = outside.select(*columns).unionByName(inside.select(*columns))
     return out.withColumn("taken", F.col("repeats") * F.col("size"))

@@ -38,7 +38,8 @@ def op2_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 @_query

@@ -45,7 +45,7 @@ _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder=
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """(doc_id, fp) of each row; fp is the unsigned fingerprint's bits as a long.
+    """(doc_id, hash, fp) of each row: the text's hash, and the unsigned fingerprint's bits as a long.
 
     A-Z are lower-cased. Fewer words than ``shingle``: the whole sequence is the only shingle. No
     words, or null: 0.
@@ -58,9 +58,10 @@ def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
             out = np.array(
                 [simhash(raw[at[i] : at[i + 1]].lower().split(), shingle) for i in range(len(at) - 1)], np.uint64
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out.view(np.int64))], ["doc_id", "hash", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    own = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("hash"))
+    return own.mapInArrow(run, "doc_id long, hash long, fp long")
 
 
 def block_masks(max_bits: int, agree: int) -> list[int]:
@@ -162,7 +163,7 @@ def _linked(rows: np.ndarray, max_bits: int) -> pa.RecordBatch:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of each row of ``docs`` (doc_id, text, …).
+    """(doc_id, fingerprint, component_id, hash) of each row of ``docs`` (doc_id, text, …); hash is the text's.
 
     Fingerprints link at ``max_bits`` or fewer differing bits; component_id is the smallest doc_id
     that links lead to. Repeated rows and exact copies share a fingerprint, hence a component. A
@@ -174,5 +175,25 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> Dat
     roots = components(near_fingerprints(fps, max_bits))
     named = fps.join(roots, fps.rep == roots.node, "left").select("fp", F.coalesce("root", "rep").alias("component_id"))
     return prints.join(named, "fp", "left").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "hash"
     )
+
+
+def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component that ``near_duplicates`` found in them; all columns stay.
+
+    It is the one with the smallest doc_id; of texts under the same id, the one with the smallest
+    hash; of rows equal in both, any one. Rows without doc_id whose component has no id at all are
+    grouped by fingerprint. Only rows that repeat both id and text are grouped with their texts.
+    """
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("x"), "fingerprint"))
+    same = found.groupBy(group.alias("g"), "doc_id", "hash").agg(F.count("*").alias("n"))
+    first = same.groupBy("g").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "n")).alias("k"))
+
+    def id_of(column: str) -> Column:
+        return F.coalesce(F.col(column).cast("long").cast("string"), F.lit(""))
+
+    keep = first.select(id_of("k.doc_id").alias("_doc"), F.col("k.hash").alias("_hash"), F.col("k.n").alias("_n"))
+    rows = docs.withColumns({"_doc": id_of("doc_id"), "_hash": F.xxhash64("text")}).join(keep, ["_doc", "_hash"])
+    out = rows.where("_n = 1").unionByName(rows.where("_n > 1").dropDuplicates(["_doc", "_hash"]))
+    return out.select(*docs.columns)
