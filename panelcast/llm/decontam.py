@@ -172,6 +172,7 @@ def latent_blocks(items: DataFrame, idf: np.ndarray, params: LatentParams) -> Da
     return spread.groupBy("block").applyInPandas(run, "block long, name string, shape array<long>, data binary")
 
 
+_ROUNDING = 0.999  # slack of the bounds
 _KINDS = {"vocabulary": np.uint64, "item": np.int64, "texts": np.int64, "lengths": np.int64, "window": np.int64}
 
 
@@ -187,6 +188,18 @@ def collected(blocks: DataFrame) -> list[dict]:
     return [out[k] for k in sorted(out)]
 
 
+def best_parts(block: dict, params: LatentParams, few: int = 8) -> np.ndarray:
+    """What a unit of each word adds to a cosine over its least value, at best for each ``few`` passages.
+
+    Nothing where a passage is so badly held by the space that any cosine will do.
+    """
+    least = params.cosine * block["own"]
+    if not len(least) or least.min() < 1e-3:
+        return np.zeros((0, 0), np.float32)
+    parts = np.maximum(block["v"] @ block["latent"].T / least[None, :], 0)
+    return np.maximum.reduceat(parts, np.arange(0, len(least), few), axis=1)
+
+
 def common_subsequence(item: list[int], text: list[int]) -> int:
     """Length of the longest common subsequence, a machine word of the item at a time."""
     masks: dict[int, int] = {}
@@ -204,8 +217,9 @@ def common_subsequence(item: list[int], text: list[int]) -> int:
 def candidates(words: np.ndarray, before: np.ndarray, idf: np.ndarray, block: dict, params: LatentParams):
     """(text, first word, passage, cosine) of windows near a passage in the block's latent space.
 
-    A window's cosine is at most the share of its norm in words of the vocabulary, so windows below
-    that bound are not folded in.
+    A window's cosine is at most the share of its norm in words of the vocabulary, and at most what
+    its words add at best for any passage, or for any of a few passages: windows below these bounds
+    are not folded in.
     """
     vocabulary, window = block["vocabulary"], block["window"]
     stride = window // (2 if window > min(params.windows) else 4)
@@ -221,7 +235,12 @@ def candidates(words: np.ndarray, before: np.ndarray, idf: np.ndarray, block: di
     end = np.minimum(begin + window, before[text + 1])
     norm, inside = all_sum[end] - all_sum[begin], known_sum[end] - known_sum[begin]
     least = params.cosine * block["own"]
-    near = np.flatnonzero((inside > 0) & (inside >= norm * float(least.min()) ** 2))
+    near = (inside > 0) & (inside >= norm * float(least.min()) ** 2)
+    best = block["best"]
+    if len(best):
+        most = np.concatenate([[0.0], np.cumsum(np.where(known, np.sqrt(weight) * best.max(axis=1)[at], 0.0))])
+        near &= most[end] - most[begin] >= np.sqrt(norm) * _ROUNDING
+    near = np.flatnonzero(near)
     for a in range(0, len(near), 512):
         some = near[a : a + 512]
         size = end[some] - begin[some]
@@ -230,8 +249,18 @@ def candidates(words: np.ndarray, before: np.ndarray, idf: np.ndarray, block: di
         row, column, w = row[known[place]], at[place][known[place]], np.sqrt(weight[place][known[place]])
         pair, first, counts = np.unique(row * len(vocabulary) + column, return_index=True, return_counts=True)
         value = (np.sqrt(counts) * w[first]).astype(np.float32)
+        row, column = pair // len(vocabulary), pair % len(vocabulary)
+        if len(best):
+            added = np.zeros((len(pair) + 1, best.shape[1]))
+            np.cumsum(best[column] * value[:, None], axis=0, dtype=float, out=added[1:])
+            edges = np.searchsorted(row, np.arange(len(some) + 1))
+            kept = ((added[edges[1:]] - added[edges[:-1]]).max(axis=1) >= np.sqrt(norm[some]) * _ROUNDING)
+            if not kept.any():
+                continue
+            some, mine = some[kept], kept[row]
+            row, column, value = (np.cumsum(kept) - 1)[row[mine]], column[mine], value[mine]
         dense = np.zeros((len(some), len(vocabulary)), np.float32)
-        dense[pair // len(vocabulary), pair % len(vocabulary)] = value
+        dense[row, column] = value
         cosine = dense @ block["v"] @ block["latent"].T / np.sqrt(norm[some])[:, None].astype(np.float32)
         hit, passage = np.nonzero(cosine >= least[None, :])
         for i, p in zip(hit.tolist(), passage.tolist()):
@@ -257,6 +286,8 @@ def leaks(docs: DataFrame, items: DataFrame, params: LatentParams = LatentParams
     out = docs.sparkSession.createDataFrame([], schema)
     for first in range(0, len(numbers), params.rounds):
         some = collected(spaces.where(F.col("block").isin(numbers[first : first + params.rounds])))
+        for block in some:
+            block["best"] = best_parts(block, params)
         held = context.broadcast((idf, some))
         found = own.mapInArrow(_search(held, params), schema)
         if len(numbers) <= params.rounds:
