@@ -336,6 +336,7 @@ def _search(held, params: LatentParams):
 
 def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``leaks`` names; all columns stay."""
-    rows = found.select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash")).distinct()
+    # stored: with its size known, Spark broadcasts it if small and does not shuffle the documents
+    rows = cut_lineage(found.select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash")).distinct())
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
     return docs.join(rows, same, "left_anti")
