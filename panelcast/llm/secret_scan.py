@@ -189,7 +189,8 @@ def redacted(docs: DataFrame, findings: DataFrame) -> DataFrame:
 
     ``n_chars``, if there is one, is counted anew where something was masked.
     """
-    secrets = (
+    # stored: with its size known, Spark broadcasts it if small and does not shuffle the documents
+    secrets = cut_lineage(
         findings.where("is_secret = 1")
         .groupBy(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"))
         .agg(F.sort_array(F.collect_set(F.struct((-F.length("value")).alias("k"), "value"))).alias("_secrets"))
