@@ -89,7 +89,8 @@ def mixed(docs: DataFrame, mix: Mix = Mix(), carry: tuple[str, ...] = ()) -> Dat
     targets = water_filled(sources, mix).select(F.col("source").alias("s"), "source_size", "target")
     before = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    edges = (
+    # stored: with its size known, Spark broadcasts it if small and does not shuffle the documents
+    edges = cut_lineage(
         bins.withColumn("low", F.coalesce(F.sum("bin_size").over(before), F.lit(0).cast("long")))
         .join(targets, F.col("source").eqNullSafe(F.col("s")))
         .withColumn("whole", whole)
