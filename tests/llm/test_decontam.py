@@ -79,6 +79,8 @@ def test_candidates_equal_all_cosines(spark, corpus):
     idf = np.full(1 << 16, 2.0, np.float32)
     params = LatentParams(windows=(8, 8), short=0, rank=12)
     (block,) = d.collected(d.latent_blocks(bench, idf, params))
+    block["best"] = d.best_parts(block, params)
+    assert block["best"].size
     hashes, before = d.hashed(*d.folded(pa.array([t for _, t in rows])))
     want = set()
     for text in range(len(rows)):
