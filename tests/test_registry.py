@@ -1,6 +1,9 @@
 """Registered queries against their SQL on the smallest test tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -55,3 +58,15 @@ def test_later_outcomes_do_not_change_earlier_rows(spark):
         return sorted(map(tuple, out.where(F.col("d") <= cut).where("id <= 240").collect()))
 
     assert features(base) == features(flipped)
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_the_rest_loads_without_the_training_data_operators(tmp_path, pipeline):
+    root = os.path.dirname(entry.__file__)
+    shutil.copytree(f"{root}/panelcast", tmp_path / "panelcast", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ["__spark_entry__.py", "corpus_pipeline.py"][: 1 + pipeline]:
+        if os.path.exists(f"{root}/{name}"):
+            shutil.copy(f"{root}/{name}", tmp_path)
+    code = "import __spark_entry__ as e; print(*e.queries())"
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert set(run.stdout.split()[-len(entry.registered.QUERIES):]) == set(entry.registered.QUERIES)
