@@ -1,4 +1,4 @@
-"""Registered queries op1 to op10 and their SQL."""
+"""Registered queries op1 to op13 and their SQL."""
 
 from __future__ import annotations
 
@@ -8,7 +8,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelcast.llm import ann, decontam, langid, mixing, preference, secret_scan, simhash, substring, toxicity, warc
+from panelcast.llm import (
+    ann,
+    decontam,
+    filter_audit,
+    langid,
+    mixing,
+    preference,
+    secret_scan,
+    simhash,
+    substring,
+    toxicity,
+    warc,
+)
 from panelcast.runtime import cut_lineage, shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +222,40 @@ SELECT conv_id, prompt_turns::BIGINT AS prompt_turns, coalesce(prompt, '') AS pr
   chosen IS NOT NULL OR rejected IS NOT NULL AS differ
 FROM merged JOIN prefix USING (conv_id)
 """
+
+
+@_query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+_ORDERS = ", ".join(f"('{o}', {i}, {own}, {before})" for o, i, own, before in filter_audit.orders())
+
+ORACLES["op12_filter_audit"] = rf"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), failed AS (
+  SELECT doc_id, part, (CASE WHEN len(words) < 200 THEN 1 ELSE 0 END)
+    + (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END)
+    + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 16 ELSE 0 END) AS fails
+  FROM words
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), sets AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, fails
+), orders (filter_order, step, own, before) AS (VALUES {_ORDERS})
+SELECT part, filter_order, step::INT AS step,
+  coalesce(sum(n) FILTER (fails & own = 0 AND fails & before = 0), 0)::BIGINT AS kept,
+  coalesce(sum(n) FILTER (fails & own <> 0 AND fails & before = 0), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (fails & own <> 0 AND fails & before <> 0), 0)::BIGINT AS redundant,
+  coalesce(sum(n) FILTER (fails = own), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (fails & own <> 0 AND fails & before = 0), 0)::BIGINT AS good_lost,
+  coalesce(sum(toxic) FILTER (fails & own <> 0 AND fails & before = 0), 0)::BIGINT AS toxic_lost,
+  coalesce(sum(120 * n // greatest(bit_count(fails::INT), 1)) FILTER (fails & own <> 0), 0)::BIGINT AS shapley
+FROM sets CROSS JOIN orders GROUP BY part, filter_order, step
+"""
