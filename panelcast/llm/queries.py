@@ -12,6 +12,7 @@ from panelcast.llm import (
     ann,
     decontam,
     filter_audit,
+    kd_search,
     langid,
     mixing,
     preference,
@@ -259,3 +260,21 @@ SELECT part, filter_order, step::INT AS step,
   coalesce(sum(120 * n // greatest(bit_count(fails::INT), 1)) FILTER (fails & own <> 0), 0)::BIGINT AS shapley
 FROM sets CROSS JOIN orders GROUP BY part, filter_order, step
 """
+
+
+@_query
+def op13_kd_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_products(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op13_kd_products"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
+FROM pairs QUALIFY rank <= 20
+"""
