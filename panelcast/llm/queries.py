@@ -14,6 +14,7 @@ from panelcast.llm import (
     filter_audit,
     kd_search,
     langid,
+    lexical,
     mixing,
     preference,
     secret_scan,
@@ -278,3 +279,33 @@ WITH whole AS (
 SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score
 FROM pairs QUALIFY rank <= 20
 """
+
+
+@_query
+def op11_max_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+_TERMS = r"""unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+ORACLES["op11_max_sketches"] = f"""
+WITH counted AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, sum(tf)::BIGINT AS n_terms FROM counted GROUP BY doc_id
+), corpus AS (
+  SELECT count(*) AS n_docs, sum(n_terms)::BIGINT AS all_terms FROM sizes
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term) CROSS JOIN corpus
+), asked AS (
+  SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} FROM benchmark)
+), scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n_terms * n_docs) // all_terms))))::BIGINT AS score
+  FROM asked JOIN counted USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id) CROSS JOIN corpus
+  GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""
