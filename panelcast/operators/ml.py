@@ -1,45 +1,33 @@
-"""Splits, preprocessing, classifiers, scores and the report, as Spark jobs.
+"""Splits, fitted models, scores and the report, as Spark jobs.
 
-A fitted model is small (trees, or numbers per feature and class); rows stay in Spark. Every
-classifier has ``fit(train) -> model`` and ``model.transform(df)``, which adds ``PROBA``, the
-probability of class 1, from the vector column ``FEATURES``.
+A model is a Spark ``PipelineModel``: it holds the fitted preprocessing and the classifier, can be
+saved and loaded, and adds ``PROBA``, the probability of class 1. See ``panelcast.models``.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
-
-import numpy as np
-import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    NaiveBayes,
-    RandomForestClassifier,
-)
-from pyspark.ml.feature import (
-    Binarizer,
-    ElementwiseProduct,
-    StandardScaler,
-    VarianceThresholdSelector,
-    VectorAssembler,
-    VectorSlicer,
-)
+from collections.abc import Mapping, Sequence
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.functions.columns import cast_features, feature_columns
+from panelcast.functions.columns import feature_columns
+from panelcast.models.base import FEATURES, PROBA
+from panelcast.models.classifier import PanelClassifier, make_model, parse_params
+from panelcast.models.neighbours import Neighbours
+from panelcast.models.prepare import importance_select, standardise, variance_select
+from panelcast.models.resample import oversample
 from panelcast.operators.order import keep_first
-from panelcast.operators.scan import Timeline, running_index, scan
 from panelcast.params import ModelParams
-from panelcast.runtime import cut_lineage
 
-FEATURES, PROBA = "features", "y_pred_proba"
+__all__ = [
+    "FEATURES", "PROBA", "assemble", "classifier", "fit", "fit_and_score", "importance_select", "knn_vote", "last_n_groups",
+    "make_model", "oversample", "parse_params", "score", "score_report", "select_training", "standardise", "time_split",
+    "training_rows", "variance_select", "vector_to_array",
+]
 
 
 # --- splits -----------------------------------------------------------------------------------
@@ -63,426 +51,66 @@ def select_training(df: DataFrame, params: ModelParams) -> DataFrame:
     return last_n_groups(rows, params.group, params.last_groups) if params.cv_type == "sliding" else rows
 
 
-# --- preprocessing ----------------------------------------------------------------------------
-
-def fit_scaler(train: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
-    """Mean and population deviation (1 where there is none) of each column, in one aggregate."""
-    row = train.agg(
-        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)],
-    ).first()
-    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(cols)}
-
-
-def apply_scaler(df: DataFrame, scaler: Mapping[str, tuple[float, float]]) -> DataFrame:
-    return df.select(
-        *[
-            ((F.col(c) - scaler[c][0]) / scaler[c][1]).alias(c) if c in scaler else F.col(c)
-            for c in df.columns
-        ]
-    )
-
-
-def standardise(train: DataFrame, others: Sequence[DataFrame], cols: Sequence[str]) -> list[DataFrame]:
-    """Scale all frames by what the first one shows."""
-    scaler = fit_scaler(train, cols)
-    return [apply_scaler(df, scaler) for df in (train, *others)]
-
+# --- features ---------------------------------------------------------------------------------
 
-def variance_select(train: DataFrame, cols: Sequence[str]) -> list[str]:
-    """The columns that are not constant."""
-    row = train.agg(*[(F.min(c) < F.max(c)).alias(f"v{i}") for i, c in enumerate(cols)]).first()
-    return [c for i, c in enumerate(cols) if row[f"v{i}"]]
+def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep`` and one vector of ``cols``."""
+    vector = VectorAssembler(inputCols=list(cols), outputCol=FEATURES)
+    return vector.transform(df).select(*keep, FEATURES)
 
 
-def importance_select(
-    train: DataFrame, label: str, seed: int, trees: int = 100, max_depth: int = 10
-) -> list[int]:
-    """Positions in the feature vector whose importance in a forest is at least the mean."""
-    forest = RandomForestClassifier(
-        labelCol=label, featuresCol=FEATURES, numTrees=trees, maxDepth=max_depth, seed=seed
-    ).fit(train)
-    weights = forest.featureImportances.toArray()
-    return [i for i, w in enumerate(weights) if w >= weights.mean()]
+def knn_vote(
+    train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, train_ids: Sequence[str], ids: Sequence[str],
+    k: int = 5, block_rows: int = 4096,
+) -> DataFrame:
+    """Mean label of the ``k`` nearest training rows of each test row (ties by ``train_ids``).
 
+    Distances are between ``cols``; see ``Neighbours``.
+    """
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    model = Neighbours(label, train_ids, k, block_rows).fit_on(train, x)
+    return model.voted(test, x).select(*ids, PROBA)
 
-def oversample(df: DataFrame, label: str, ids: Sequence[str], seed: int) -> DataFrame:
-    """Repeat rows of the smaller classes until all classes are equally large.
 
-    Each row is kept; every class is repeated whole as often as it fits, and the rest is drawn in
-    the order of a seeded hash of ``ids``. Ranks come from hash buckets, so no task orders a class.
-    """
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    largest = sizes.agg(F.max("__n")).scalar()
-    hashed = df.withColumn("__hash", F.md5(F.concat_ws("|", F.lit(str(seed)), *ids)))
-    hashed = hashed.withColumn("__bucket", F.conv(F.substring("__hash", 1, 4), 16, 10).cast("int"))
-    line = Timeline((label,), ("__bucket", "__hash", *ids), (F.col("__bucket"),))
-    ranked = scan(hashed, (line, {"__rank": running_index()})).join(sizes, label)
-    whole = F.floor(largest / F.col("__n")).cast("int")
-    copies = whole + F.when(F.col("__rank") < F.pmod(largest, F.col("__n")), 1).otherwise(0)
-    repeated = ranked.withColumn("__copy", F.explode(F.sequence(F.lit(1), copies)))
-    return repeated.select(*df.columns)
+# --- fit, score -------------------------------------------------------------------------------
 
+def _features(df: DataFrame, params: ModelParams) -> list[str]:
+    return feature_columns(df, [*params.ids, params.outcome, params.group])
 
-def assemble(df: DataFrame, cols: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """``keep`` and one vector of ``cols``."""
-    vector = VectorAssembler(inputCols=list(cols), outputCol=FEATURES)
-    return vector.transform(df).select(*keep, FEATURES)
 
+def training_rows(train: DataFrame, params: ModelParams) -> DataFrame:
+    """The rows to fit on: key, outcome as long, and features as doubles."""
+    rows = select_training(train, params)
+    cols = [F.col(c).cast("double").alias(c) for c in _features(train, params)]
+    return rows.select(*params.key, F.col(params.outcome).cast("long").alias(params.outcome), *cols)
 
-# --- classifiers ------------------------------------------------------------------------------
 
-def parse_params(row: Mapping[str, str]) -> tuple[str, dict, dict]:
-    """Model name, its options and the preprocessing steps, from a row (model, params as JSON).
+def classifier(train: DataFrame, params: ModelParams) -> PanelClassifier:
+    """The unfitted pipeline for the features of ``train``."""
+    return PanelClassifier.from_row(params.row, _features(train, params), params.outcome, params.key, params.seed)
 
-    Options carry the prefix "<model>__"; the steps are "scaler", "fs" and "sampler".
-    """
-    name, values = row["model"], json.loads(row["params"])
-    prefix = f"{name}__"
-    options = {k.removeprefix(prefix): v for k, v in values.items() if k.startswith(prefix)}
-    return name, options, {k: values.get(k) for k in ("scaler", "fs", "sampler")}
-
-
-class SparkModel:
-    """A fitted Spark ML classifier."""
-
-    def __init__(self, model):
-        self.model = model
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        scored = self.model.transform(df).withColumn(PROBA, vector_to_array("probability")[1])
-        return scored.select(*df.columns, PROBA)
-
-
-class SparkEstimator:
-    def __init__(self, estimator):
-        self.estimator = estimator
-
-    def fit(self, train: DataFrame) -> SparkModel:
-        return SparkModel(self.estimator.fit(train))
-
-
-def make_model(name: str, options: Mapping, label: str, seed: int):
-    """An unfitted classifier by its short name."""
-    o = dict(options)
-    if name == "rf":
-        return SparkEstimator(
-            RandomForestClassifier(
-                labelCol=label, featuresCol=FEATURES, seed=seed,
-                numTrees=o.get("n_estimators", 100),
-                featureSubsetStrategy=str(o.get("max_features", "sqrt")),
-                minInstancesPerNode=o.get("min_samples_leaf", 1),
-                maxDepth=o.get("max_depth", 30), maxMemoryInMB=1024,
-            )
-        )
-    if name in ("gbf", "xgbl"):
-        return SparkEstimator(
-            GBTClassifier(
-                labelCol=label, featuresCol=FEATURES, seed=seed, maxIter=o.get("n_estimators", 100),
-                stepSize=o.get("learning_rate", 0.1 if name == "gbf" else 0.3),
-                maxDepth=o.get("max_depth", 3 if name == "gbf" else 6),
-                subsamplingRate=o.get("subsample", 1.0), maxMemoryInMB=1024,
-            )
-        )
-    if name == "bb":
-        flags = Binarizer(inputCol=FEATURES, outputCol="__flags", threshold=o.get("binarize", 0.0))
-        bayes = NaiveBayes(
-            labelCol=label, featuresCol="__flags", modelType="bernoulli", smoothing=o.get("alpha", 1.0)
-        )
-        return SparkEstimator(Pipeline(stages=[flags, bayes]))
-    if name == "gb":
-        return SparkEstimator(NaiveBayes(labelCol=label, featuresCol=FEATURES, modelType="gaussian"))
-    if name in ("lda", "lda_shrink", "qda"):
-        return GaussianDiscriminant(label, pooled=name != "qda", shrink=name == "lda_shrink")
-    if name == "ada":
-        return BoostedStumps(label, o.get("n_estimators", 50), o.get("learning_rate", 1.0), seed)
-    raise ValueError(f"unknown model {name}; knn is scored by knn_vote")
-
-
-@dataclass
-class ClassMoments:
-    n: float
-    mean: np.ndarray
-    cov: np.ndarray  # population covariance
-
-
-class GaussianDiscriminant:
-    """Normal classes with a common covariance (linear) or one each (quadratic).
-
-    Each partition adds up its rows' sums and outer products; only these, one matrix per class,
-    are combined and brought to the driver.
-    """
 
-    def __init__(self, label: str, pooled: bool = True, shrink: bool = False):
-        self.label, self.pooled, self.shrink = label, pooled, shrink
-
-    def fit(self, train: DataFrame) -> GaussianModel:
-        rows = train.select(F.col(self.label).cast("long").alias("y"), vector_to_array(FEATURES).alias("x"))
-        moments = class_moments(rows)
-        total = sum(m.n for m in moments.values())
-        priors = {k: m.n / total for k, m in moments.items()}
-        if self.shrink:
-            covs = _shrunk(rows, moments)
-        else:
-            covs = {k: m.cov for k, m in moments.items()}
-        if self.pooled:
-            common = sum(priors[k] * covs[k] for k in covs)
-            if not self.shrink:
-                common = common * total / (total - len(covs))
-            covs = {k: common for k in covs}
-        else:
-            covs = {k: c * moments[k].n / (moments[k].n - 1) for k, c in covs.items()}
-        return GaussianModel({k: (np.log(priors[k]), moments[k].mean, covs[k]) for k in moments})
-
-
-def _add_up(rows: DataFrame, partial) -> dict[tuple[int, int], float]:
-    """Sum arrays of numbers per class over all partitions, position by position."""
-
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for y, part in batch.groupby("y"):
-                value = partial(int(y), np.stack(part["x"].to_numpy()))
-                sums[int(y)] = sums.get(int(y), 0) + value
-        for y, value in sums.items():
-            yield pd.DataFrame({"y": [y], "s": [value]})
-
-    parts = rows.mapInPandas(add, "y long, s array<double>")
-    summed = parts.select("y", F.posexplode("s").alias("i", "v")).groupBy("y", "i").agg(F.sum("v").alias("v"))
-    return {(r.y, r.i): r.v for r in summed.collect()}
-
-
-def class_moments(rows: DataFrame) -> dict[int, ClassMoments]:
-    """Count, mean and covariance of the arrays ``x`` per class ``y``."""
-
-    def sums(_, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
-
-    cells = _add_up(rows, sums)
-    out = {}
-    for y in sorted({y for y, _ in cells}):
-        flat = np.array([cells[y, i] for i in range(sum(1 for k, _ in cells if k == y))])
-        d = int((-1 + np.sqrt(1 + 4 * (len(flat) - 1))) / 2)
-        n, mean = flat[0], flat[1 : d + 1] / flat[0]
-        out[y] = ClassMoments(n, mean, flat[d + 1 :].reshape(d, d) / n - np.outer(mean, mean))
-    return out
-
-
-def _shrunk(rows: DataFrame, moments: Mapping[int, ClassMoments]) -> dict[int, np.ndarray]:
-    """Covariances shrunk towards a multiple of the identity by the Ledoit-Wolf rule, on
-    standardised features."""
-    scale = {y: np.sqrt(np.where(np.diag(m.cov) > 0, np.diag(m.cov), 1.0)) for y, m in moments.items()}
-    centre = {y: m.mean for y, m in moments.items()}
-
-    def fourth(y: int, x: np.ndarray) -> np.ndarray:
-        z = (x - centre[y]) / scale[y]
-        return np.array([((z**2).sum(axis=1) ** 2).sum()])
-
-    fourths = _add_up(rows, fourth)
-    out = {}
-    for y, m in moments.items():
-        corr = m.cov / np.outer(scale[y], scale[y])
-        d = len(corr)
-        level = np.trace(corr) / d
-        square = (corr**2).sum()
-        noise = (fourths[y, 0] / m.n - square) / (d * m.n)
-        spread = (square - 2 * level * np.trace(corr) + d * level**2) / d
-        weight = min(noise, spread) / spread if spread > 0 else 0.0
-        shrunk = (1 - weight) * corr + weight * level * np.eye(d)
-        out[y] = shrunk * np.outer(scale[y], scale[y])
-    return out
-
-
-class GaussianModel:
-    def __init__(self, classes: Mapping[int, tuple[float, np.ndarray, np.ndarray]]):
-        self.classes = {
-            y: (prior, mean, np.linalg.pinv(cov, hermitian=True), _log_volume(cov))
-            for y, (prior, mean, cov) in classes.items()
-        }
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        classes = self.classes
-
-        @F.pandas_udf("double")
-        def proba(x: pd.Series) -> pd.Series:
-            rows = np.stack(x.to_numpy()) if len(x) else np.empty((0, 0))
-            scores = {}
-            for y, (prior, mean, precision, volume) in classes.items():
-                z = rows - mean if len(rows) else rows
-                fit = np.einsum("ij,jk,ik->i", z, precision, z) if len(rows) else np.empty(0)
-                scores[y] = prior - (fit + volume) / 2
-            others = np.logaddexp.reduce([s for y, s in scores.items() if y != 1])
-            return pd.Series(1 / (1 + np.exp(np.clip(others - scores[1], -700, 700))))
-
-        return df.withColumn(PROBA, proba(vector_to_array(FEATURES)))
-
-
-def _log_volume(cov: np.ndarray) -> float:
-    values = np.linalg.eigvalsh(cov)
-    return float(np.log(values[values > values.max() * 1e-12]).sum())
-
-
-class BoostedStumps:
-    """AdaBoost over one-split trees: each round weighs up the rows the last one got wrong."""
-
-    def __init__(self, label: str, rounds: int, rate: float, seed: int):
-        self.label, self.rounds, self.rate, self.seed = label, rounds, rate, seed
-
-    def fit(self, train: DataFrame) -> StumpsModel:
-        rows = cut_lineage(train.select(F.col(self.label).cast("double").alias("y"), FEATURES))
-        rows = rows.withColumn("w", F.lit(1.0))
-        stumps = []
-        for i in range(self.rounds):
-            tree = DecisionTreeClassifier(
-                labelCol="y", featuresCol=FEATURES, weightCol="w", maxDepth=1, seed=self.seed
-            ).fit(rows)
-            judged = tree.transform(rows).withColumn("miss", (F.col("prediction") != F.col("y")).cast("int"))
-            wrong, total = judged.agg(F.sum(F.col("w") * F.col("miss")), F.sum("w")).first()
-            share = wrong / total
-            if share >= 0.5:
-                break
-            say = self.rate * float(np.log((1 - share) / max(share, 1e-10)))
-            stumps.append((say, tree))
-            if share == 0:
-                break
-            # weights are scaled to a mean of 1, so they neither vanish nor overflow
-            grown = F.col("w") * F.exp(F.lit(say) * F.col("miss"))
-            mean = (total - wrong + wrong * np.exp(say)) / total
-            rows = judged.select("y", FEATURES, (grown / float(mean)).alias("w"))
-            if i % 10 == 9:
-                rows = cut_lineage(rows)
-        return StumpsModel(stumps)
-
-
-class StumpsModel:
-    def __init__(self, stumps):
-        self.stumps = stumps
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df.withColumn("__vote", F.lit(0.0))
-        for say, tree in self.stumps:
-            voted = F.col("__vote") + F.lit(say) * (2 * F.col("prediction") - 1)
-            out = tree.transform(out).select(*df.columns, voted.alias("__vote"))
-        total = sum(say for say, _ in self.stumps) or 1.0
-        return out.select(*df.columns, (1 / (1 + F.exp(-F.col("__vote") / total))).alias(PROBA))
+def fit(train: DataFrame, params: ModelParams) -> PipelineModel:
+    """The fitted pipeline; keep it with ``write().save``, take it back with ``PipelineModel.load``."""
+    return classifier(train, params).fit(training_rows(train, params))
 
 
-def knn_vote(
-    train: DataFrame, test: DataFrame, cols: Sequence[str] | None, label: str, train_ids: Sequence[str],
-    ids: Sequence[str], k: int = 5, block_rows: int = 50_000,
-) -> DataFrame:
-    """Mean label of the ``k`` nearest training rows of each test row (ties by training ids).
+def score(model: PipelineModel, rows: DataFrame, params: ModelParams) -> DataFrame:
+    """Probability of the outcome for each row from the first group on: songid, showid, y_pred_proba.
 
-    Distances are between ``cols``, or between feature vectors if it is None.
-    Both sides are cut into blocks of about ``block_rows`` by a hash. Each pair of blocks meets in
-    one task, which passes on its ``k`` nearest; these are merged per test row.
-    """
-    n_train = max(1, -(-train.count() // block_rows))
-    n_test = max(1, -(-test.count() // block_rows))
-
-    def blocks(df: DataFrame, keys, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-        if cols is None:
-            values = vector_to_array(FEATURES)
-        else:
-            values = F.array(*[F.col(c).cast("double") for c in cols])
-        placed = df.withColumn(own, F.pmod(F.xxhash64(*keys), F.lit(n_own)))
-        return placed.select(
-            *keys, *([label] if own == "a" else []), values.alias("x"), own,
-            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other),
-        )
-
-    left = blocks(train, train_ids, "a", n_train, "b", n_test)
-    right = blocks(test, ids, "b", n_test, "a", n_train)
-    near_ids = [f"near_{c}" for c in train_ids]
-
-    def nearest(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(mine) and len(theirs):
-            mine = mine.sort_values(list(train_ids)).reset_index(drop=True)
-            x = np.stack(mine["x"].to_numpy())
-            for row in theirs.itertuples(index=False):
-                d = ((x - np.asarray(row.x)) ** 2).sum(axis=1)
-                # stable order keeps ties in the order of the training ids
-                pick = mine.iloc[np.argsort(d, kind="stable")[:k]]
-                part = pd.DataFrame({"d": d[pick.index], "y": pick[label].to_numpy(dtype=float)})
-                for c, n in zip(train_ids, near_ids):
-                    part[n] = pick[c].to_numpy()
-                for c in ids:
-                    part[c] = getattr(row, c)
-                out.append(part)
-        names = [*ids, "d", "y", *near_ids]
-        return pd.concat(out)[names] if out else pd.DataFrame(columns=names)
-
-    types = dict(test.dtypes), dict(train.dtypes)
-    schema = ", ".join(
-        [f"{c} {types[0][c]}" for c in ids] + ["d double", "y double"]
-        + [f"{n} {types[1][c]}" for c, n in zip(train_ids, near_ids)]
-    )
-    found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(nearest, schema)
-    # k rows per training block are left of each test row; Spark cuts them to k before the shuffle
-    rank = F.row_number().over(Window.partitionBy(*ids).orderBy("d", *near_ids))
-    kept = found.withColumn("__rank", rank).where(F.col("__rank") <= k)
-    return kept.groupBy(*ids).agg(F.avg("y").alias(PROBA))
-
-
-# --- fit, score, report -----------------------------------------------------------------------
-
-def prepare(train: DataFrame, test: DataFrame, params: ModelParams) -> tuple[DataFrame, DataFrame]:
-    """Training rows (balanced) and rows to score as scaled vectors of the selected features.
-
-    Everything is fitted on the training rows. Missing coordinates of rows to score become -1.
+    Missing features of rows to score, such as coordinates, become -1.
     """
-    train = select_training(cast_features(train, params.outcome), params)
-    test = time_split(cast_features(test, params.outcome), params.group, params.start).fillna(-1)
-    cols = feature_columns(train, [*params.ids, params.outcome, params.group])
-    keys = ["showid", "songid"]
-    train = cut_lineage(assemble(train, cols, [*keys, params.outcome]))
-    test = assemble(test, cols, keys)
-    steps = []
-    if params.scale:
-        n = train.count()
-        # Spark divides by the sample deviation; this brings it to the population's
-        factor = float(np.sqrt(n / max(n - 1, 1)))
-        steps += [
-            StandardScaler(inputCol=FEATURES, outputCol="scaled", withMean=True, withStd=True),
-            ElementwiseProduct(inputCol="scaled", outputCol="even", scalingVec=Vectors.dense([factor] * len(cols))),
-        ]
-    if params.select == "variance":
-        steps.append(
-            VarianceThresholdSelector(
-                featuresCol="even" if steps else FEATURES, outputCol="kept", varianceThreshold=0.0
-            )
-        )
-    if steps:
-        model = Pipeline(stages=steps).fit(train)
-        last = "kept" if params.select == "variance" else "even"
-        train, test = (
-            model.transform(df).select(*[F.col(last).alias(FEATURES) if c == FEATURES else c for c in df.columns])
-            for df in (train, test)
-        )
-    if params.select == "importance":
-        slicer = VectorSlicer(
-            inputCol=FEATURES, outputCol="kept",
-            indices=importance_select(train, params.outcome, params.seed),
-        )
-        train, test = (
-            slicer.transform(df).select(*[F.col("kept").alias(FEATURES) if c == FEATURES else c for c in df.columns])
-            for df in (train, test)
-        )
-    if params.balance:
-        train = oversample(cut_lineage(train), params.outcome, keys, params.seed)
-    return cut_lineage(train), test
+    cols = [F.coalesce(F.col(c).cast("double"), F.lit(-1.0)).alias(c) for c in _features(rows, params)]
+    ahead = time_split(rows, params.group, params.start).select(*params.key, *cols)
+    return model.transform(ahead).select("songid", "showid", PROBA)
 
 
 def fit_and_score(train: DataFrame, test: DataFrame, params: ModelParams) -> DataFrame:
     """Probability of the outcome for each row of ``test``: songid, showid, y_pred_proba."""
-    ready, rows = prepare(train, test, params)
-    if params.model == "knn":
-        k = params.options.get("n_neighbors", 5)
-        return knn_vote(ready, rows, None, params.outcome, ["showid", "songid"], ["songid", "showid"], k)
-    fitted = make_model(params.model, params.options, params.outcome, params.seed).fit(ready)
-    return fitted.transform(rows).select("songid", "showid", PROBA)
+    return score(fit(train, params), test, params)
+
 
+# --- report -----------------------------------------------------------------------------------
 
 def score_report(
     scores: DataFrame, songs: DataFrame, shows: DataFrame, threshold: float = 0.5, top: int | None = None

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from collections.abc import Mapping
+from dataclasses import dataclass, field, replace
 from datetime import date
 
 
@@ -40,20 +42,36 @@ class ModelParams:
     last_groups: int = 7
     cv_type: str = "rolling"
     refit: bool = True
-    ids: tuple[str, ...] = ("showid", "songid", "new_tourid")
+    ids: tuple[str, ...] = ("showid", "songid", "new_tourid")  # no features
+    key: tuple[str, ...] = ("showid", "songid")
     model: str = "rf"
     options: dict = field(
         default_factory=lambda: {
             "n_estimators": 555,
             "max_features": 0.2,
             "min_samples_leaf": 20,
+            "min_samples_split": 100,
         }
     )
-    scale: bool = True
-    select: str | None = "variance"
-    balance: bool = True
+    scaler: str | None = "standard"
+    fs: str | None = "variance"
+    sampler: str | None = "random"
     threshold: float = 0.5
 
+    @property
+    def row(self) -> dict[str, str]:
+        """Model and preprocessing as a parameter row: model, params (JSON)."""
+        options = {f"{self.model}__{k}": v for k, v in self.options.items()}
+        steps = {"scaler": self.scaler, "fs": self.fs, "sampler": self.sampler}
+        return {"model": self.model, "params": json.dumps({**options, **steps})}
+
+    def with_row(self, row: Mapping[str, str]) -> ModelParams:
+        """These parameters with the model and the preprocessing of a parameter row."""
+        from panelcast.models.classifier import parse_params
+
+        model, options, steps = parse_params(row)
+        return replace(self, model=model, options=options, **steps)
+
 
 # Artists whose songs count as the family's own.
 ALIASES = (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +10,11 @@ from pyspark.sql import functions as F
 from panelcast.functions import columns as C
 from panelcast.operators import history as H
 from panelcast.operators import lookup as L
-from panelcast.operators import ml as M
 from panelcast.operators import order as O
 from panelcast.operators import panel as N
 from panelcast.operators import periods as D
 from panelcast.operators import trailing as T
 from panelcast.operators.scan import STATS
-from panelcast.params import ModelParams
 from panelcast.plans import oracle as Q
 from panelcast.plans import panel_plan as P
 from panelcast.plans import roles as R
@@ -53,8 +50,10 @@ def build(spark: SparkSession, sf: str) -> P.PanelBuild:
 
 
 def forget_builds() -> None:
+    from panelcast.plans import model_queries
+
     _BUILDS.clear()
-    _SETS.clear()
+    model_queries.SETS.clear()
 
 
 def six_digits(c: str):
@@ -209,14 +208,15 @@ def _(spark, sf):
     return tidy(rows, "l_orderkey", "l_linenumber", "l_partkey", "p_brand", "p_type")
 
 
-@query("left_join_composite", sql(f"""SELECT {whole('showid', 'songid', prefix='f.')},
-  CAST(CASE WHEN j.showid IS NULL THEN 0 ELSE 1 END AS BIGINT) AS jammed
-FROM plays f LEFT JOIN jgaps j ON f.showid = j.showid AND f.songid = j.songid"""))
+@query("left_join_composite", sql(f"""SELECT {whole('l_orderkey', 'l_linenumber', 'l_partkey')},
+  CAST(coalesce(n, 0) AS BIGINT) AS returned FROM lineitem LEFT JOIN (
+    SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey, l_partkey
+  ) USING (l_orderkey, l_partkey)"""))
 def _(spark, sf):
-    plays = build(spark, sf).plays
-    jams = plays.where("isjamchart = 1").select("showid", "songid", F.lit(1).alias("jammed"))
-    joined = plays.join(jams, ["showid", "songid"], "left").fillna(0, ["jammed"])
-    return tidy(joined, "showid", "songid", "jammed")
+    lines = R.table(spark, sf, "lineitem")
+    returned = lines.where("l_returnflag = 'R'").groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("returned"))
+    joined = lines.join(returned, ["l_orderkey", "l_partkey"], "left").fillna(0, ["returned"])
+    return tidy(joined, "l_orderkey", "l_linenumber", "l_partkey", "returned")
 
 
 @query("occurrence_join", sql(f"""SELECT {whole('showid', 'venueid', prefix='o.')}, CAST(songid AS BIGINT) AS songid,
@@ -667,132 +667,5 @@ def _(spark, sf):
     return tidy(profile(both, "is_next", _ANALYTICAL))
 
 
-# --- model ------------------------------------------------------------------------------------
-
-_SETS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
-
-MODEL = ModelParams(start=1995, cut=2000, last_groups=3, options={"n_estimators": 20, "max_features": 0.2,
-                                                                 "min_samples_leaf": 20, "max_depth": 8})
-
-
-def stored_sets(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The analytical sets, written once per session."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _SETS:
-        past, ahead = analytical(spark, sf)
-        _SETS[key] = cut_lineage(past), cut_lineage(ahead)
-    return _SETS[key]
-
-
-_ROWS = "SELECT * FROM analytical WHERE is_next = 0"
-
-
-@query("time_split", sql(f"SELECT {whole('showid', 'songid', 'showyear', 'played')} FROM ({_ROWS}) WHERE showyear >= 1996 AND showyear < 2000"))
-def _(spark, sf):
-    rows = M.time_split(stored_sets(spark, sf)[0], "showyear", 1996, 2000)
-    return tidy(rows, "showid", "songid", "showyear", "played")
-
-
-@query("sliding_split", sql(f"""SELECT {whole('showid', 'songid', 'showyear')} FROM ({_ROWS}) WHERE showyear IN
-  (SELECT DISTINCT showyear FROM ({_ROWS}) ORDER BY showyear DESC LIMIT 3)"""))
-def _(spark, sf):
-    return tidy(M.last_n_groups(stored_sets(spark, sf)[0], "showyear", 3), "showid", "songid", "showyear")
-
-
-_MODEL_FEATURES = [*P.feature_names(), *[c for c in P.SHOW_FEATURES if c != "showyear"], "latitude", "longitude"]
-
-
-@query("feature_vector", sql(f"""SELECT {whole('showid', 'songid')}, CAST({len(_MODEL_FEATURES)} AS BIGINT) AS width,
-  {Q.six_digits(' + '.join(f'CAST({c} AS DOUBLE)' for c in _MODEL_FEATURES))} AS total FROM ({_ROWS})"""))
-def _(spark, sf):
-    rows = C.cast_features(stored_sets(spark, sf)[0], "played")
-    cols = C.feature_columns(rows, ["showid", "songid", "new_tourid", "played", "showyear"])
-    vectors = M.assemble(rows, cols, ["showid", "songid"]).withColumn("x", M.vector_to_array(M.FEATURES))
-    total = F.aggregate("x", F.lit(0.0), lambda acc, v: acc + v)
-    return tidy(vectors.select(
-        F.col("showid").cast("long"), F.col("songid").cast("long"), F.size("x").alias("width"), total.alias("total")
-    ))
-
-
-_SCALED = ["show_gap", "time_last_played_song", "num_times_played_song", "latitude"]
-
-
-@query("standardise", sql(f"""SELECT {whole('showid', 'songid', 'is_next')}, {', '.join(
-    Q.six_digits(f'((CAST({c} AS DOUBLE) - m_{c}) / s_{c})') + f' AS {c}' for c in _SCALED)}
-FROM analytical, (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in _SCALED)}
-  FROM ({_ROWS}))"""))
-def _(spark, sf):
-    past, ahead = (df.select("showid", "songid", *_SCALED) for df in stored_sets(spark, sf))
-    past, ahead = M.standardise(past, [ahead], _SCALED)
-    both = past.withColumn("is_next", F.lit(0)).unionByName(ahead.withColumn("is_next", F.lit(1)))
-    return tidy(both)
-
-
-@query("variance_select", sql(" UNION ALL ".join(
-    f"SELECT '{c}' AS feature FROM (SELECT *, 1 AS always FROM ({_ROWS})) HAVING min({c}) < max({c})"
-    for c in [*_MODEL_FEATURES, "always"])))
-def _(spark, sf):
-    rows = stored_sets(spark, sf)[0].withColumn("always", F.lit(1))
-    kept = M.variance_select(rows, [*_MODEL_FEATURES, "always"])
-    return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in kept])).alias("feature"))
-
-
-@query("oversample", sql(f"""SELECT {whole('showid', 'songid', 'played')}, CAST(copies AS BIGINT) AS copies FROM (
-  SELECT *, big // n + CASE WHEN rk <= big % n THEN 1 ELSE 0 END AS copies FROM (
-    SELECT *, max(n) OVER () AS big FROM (
-      SELECT showid, songid, played, count(*) OVER (PARTITION BY played) AS n, row_number() OVER (
-        PARTITION BY played ORDER BY md5('1994|' || CAST(showid AS BIGINT) || '|' || CAST(songid AS BIGINT))) AS rk
-      FROM ({_ROWS}))))"""))
-def _(spark, sf):
-    rows = stored_sets(spark, sf)[0].select("showid", "songid", "played")
-    balanced = M.oversample(rows, "played", ["showid", "songid"], 1994)
-    return tidy(balanced.groupBy("showid", "songid", "played").agg(F.count(F.lit(1)).alias("copies")))
-
-
-_NEAR = ["show_gap", "num_times_played_song_venue", "tot_times_played_in_last_year", "time_last_played_song_state"]
-
-
-@query("knn_vote", sql(f"""SELECT CAST(songid AS BIGINT) AS songid, {Q.six_digits('avg(y)')} AS y_pred_proba FROM (
-  SELECT t.songid, a.played AS y, row_number() OVER (PARTITION BY t.songid ORDER BY
-    {' + '.join(f'power(CAST(a.{c} AS DOUBLE) - CAST(t.{c} AS DOUBLE), 2)' for c in _NEAR)}, a.showid, a.songid) AS rk
-  FROM ({_ROWS}) a, (SELECT * FROM analytical WHERE is_next = 1) t) WHERE rk <= 5 GROUP BY songid"""))
-def _(spark, sf):
-    past, ahead = stored_sets(spark, sf)
-    return tidy(M.knn_vote(past, ahead, _NEAR, "played", ["showid", "songid"], ["songid"], 5))
-
-
-@query("score_report", sql("""SELECT CAST(d.showid AS BIGINT) AS showid, CAST(d.songid AS BIGINT) AS songid, venue, city, s.state,
-  country, strftime(s.showdate, '%m/%d/%Y') AS showdate, song, floor(CAST(rate_played_this_year AS DOUBLE) * 1e6 + 0.5001) / 1e6
-  AS probability FROM dated d LEFT JOIN songs g ON d.songid = g.songid LEFT JOIN shows s ON d.showid = s.showid
-WHERE rate_played_this_year > 0.17"""))
-def _(spark, sf):
-    scores = build(spark, sf).dated.select("songid", "showid", F.col("rate_played_this_year").alias(M.PROBA))
-    return tidy(M.score_report(scores, R.songs(spark, sf), R.shows(spark, sf), 0.17))
-
-
-def _score_query(name: str, model: str, **options):
-    def run(spark, sf):
-        params = replace(MODEL, model=model, options=options or MODEL.options)
-        return tidy(M.fit_and_score(*stored_sets(spark, sf), params))
-
-    query(name)(run)
-
-
-_score_query("score_next", "rf")
-_score_query("score_boosted_trees", "gbf", n_estimators=5, max_depth=3)
-_score_query("score_boosted_trees_deep", "xgbl", n_estimators=3, max_depth=6)
-_score_query("score_bernoulli_bayes", "bb", alpha=1.0)
-_score_query("score_gaussian_bayes", "gb", smoothing=None)
-_score_query("score_linear_discriminant", "lda", shrinkage=None)
-_score_query("score_shrunk_discriminant", "lda_shrink", shrinkage="auto")
-_score_query("score_quadratic_discriminant", "qda", shrinkage=None)
-_score_query("score_boosted_stumps", "ada", n_estimators=5)
-_score_query("score_neighbours", "knn", n_neighbors=5)
-
-
-@query("importance_select")
-def _(spark, sf):
-    rows = C.cast_features(M.select_training(stored_sets(spark, sf)[0], MODEL), "played")
-    vectors = cut_lineage(M.assemble(rows, _MODEL_FEATURES, ["played"]))
-    kept = [_MODEL_FEATURES[i] for i in M.importance_select(vectors, "played", MODEL.seed, 5, 5)]
-    return spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in kept])).alias("feature"))
+# The model's queries register themselves beside these.
+from panelcast.plans.model_queries import stored_sets  # noqa: E402, F401
