@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,3 +64,44 @@ def trailing_by_day(
         total, n = F.col(f"__s{i}"), F.col(f"__n{i}")
         results.append((F.try_divide(total, n) if kind == "mean" else total).alias(name))
     return past.select(entity, day, *results)
+
+
+EPOCH = date(1970, 1, 1)
+
+
+def map_trailing(
+    df: DataFrame, entity: str, day: str, reach: int, per_day: Mapping[str, Column],
+    fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str, ids: Sequence[str],
+    stretch: int = 366, block_rows: int = 65_536,
+) -> DataFrame:
+    """``fn(rows, days)`` for every entity and stretch of ``stretch`` days: any function of a row and
+    the ``reach`` days before it.
+
+    ``days`` has one row per day of the entity, from ``reach`` days before the stretch to its end, with
+    the aggregates ``per_day``; both frames are in order of day, and ``fn`` returns ``schema``. A
+    stretch with more than ``block_rows`` rows is dealt over blocks by a hash of ``ids``, which see
+    the same days. So a call gets ``block_rows`` rows and ``stretch + reach`` days, about, whatever
+    the length of the entity's history. Rows without entity or day are left out.
+    """
+    rows = df.where(F.col(entity).isNotNull() & F.col(day).isNotNull())
+    number = F.datediff(day, F.lit(EPOCH))
+    rows = rows.withColumn("__stretch", F.floor(number / stretch))
+    daily = rows.groupBy(entity, day).agg(*[c.alias(name) for name, c in per_day.items()])
+    sizes = rows.groupBy(entity, "__stretch").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("__blocks"))
+    own = rows.join(sizes, [entity, "__stretch"]).withColumn("__block", F.pmod(F.xxhash64(*ids), "__blocks")).drop("__blocks")
+    serves = F.sequence(F.floor(number / stretch), F.floor((number + reach) / stretch))
+    halo = daily.withColumn("__stretch", F.explode(serves)).join(sizes, [entity, "__stretch"])
+    halo = halo.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__blocks") - 1))).drop("__blocks")
+    # a stretch needs no days beyond the reach of its first one
+    halo = halo.where(number >= F.col("__stretch") * stretch - reach)
+    halo = halo.toDF(*halo.columns)  # columns of its own, so that the two sides can be told apart
+    inner = ["__stretch", "__block"]
+
+    def call(mine: pd.DataFrame, days: pd.DataFrame) -> pd.DataFrame:
+        mine, days = (x.drop(columns=inner).sort_values(day, kind="stable").reset_index(drop=True) for x in (mine, days))
+        for x in (mine, days):
+            x[day] = pd.to_datetime(x[day])
+        return fn(mine, days)
+
+    keys = [entity, *inner]
+    return own.groupBy(*keys).cogroup(halo.groupBy(*keys)).applyInPandas(call, schema)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -608,6 +610,34 @@ def _(spark, sf):
     return tidy(out, "showid", "songid", *P.TRAILING)
 
 
+def _past_year(rows: pd.DataFrame, days: pd.DataFrame) -> pd.DataFrame:
+    """The trailing features of ``rows`` from sums per day: differences of running totals."""
+    months = rows["showdate"].dt.year.map(R.PARAMS.trailing_overrides).fillna(R.PARAMS.trailing_months).astype(int)
+    start = pd.Series(pd.NaT, index=rows.index, dtype="datetime64[ns]")
+    for m in months.unique():
+        start[months == m] = rows["showdate"][months == m] - pd.DateOffset(months=int(m))
+    held = days["showdate"].to_numpy()
+    a, b = (np.searchsorted(held, x.to_numpy()) for x in (start, rows["showdate"]))
+    out = rows[["showid", "songid"]].copy()
+    for i, (name, (kind, _)) in enumerate(P.TRAILING.items()):
+        total, n = (np.concatenate([[0.0], np.cumsum(days[f"{part}{i}"])]) for part in ("s", "n"))
+        total, n = total[b] - total[a], n[b] - n[a]
+        out[name] = np.divide(total, n, out=np.full(len(n), np.nan), where=n > 0) if kind == "mean" else total
+    return out
+
+
+@query("trailing_map", ORACLES["trailing_year"])
+def _(spark, sf):
+    """The trailing features again, by a function of its own over each entity's stretches of days."""
+    values = [F.expr(value).cast("double") for _, value in P.TRAILING.values()]
+    per_day = {f"{part}{i}": F.coalesce(f(v), F.lit(0)).cast("double") for i, v in enumerate(values) for part, f in (("s", F.sum), ("n", F.count))}
+    whole_numbers = [name for name, (kind, _) in P.TRAILING.items() if kind == "sum"]
+    schema = "showid long, songid long, " + ", ".join(f"{name} double" for name in P.TRAILING)
+    reach = 31 * max(R.PARAMS.trailing_months, *R.PARAMS.trailing_overrides.values())
+    out = T.map_trailing(build(spark, sf).recent, "songid", "showdate", reach, per_day, _past_year, schema, ["showid"])
+    return tidy(out.withColumns({c: F.col(c).cast("long") for c in whole_numbers}))
+
+
 @query("topk_flag", sql(f"SELECT {whole('showid', 'songid', 'notebook_flag')} FROM flagged"))
 def _(spark, sf):
     return tidy(P.notebook_flag(build(spark, sf).dated, R.PARAMS), "showid", "songid", "notebook_flag")

@@ -23,7 +23,8 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None, fmt: s
     """Scan files; ``schema`` is a DDL string, or the name of one of ``SCHEMAS``."""
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+        # quotes inside quotes are doubled, as other CSV writers do
+        reader = reader.option("header", True).option("enforceSchema", False).option("escape", '"')
     if schema:
         reader = reader.schema(SCHEMAS.get(schema, schema))
     return reader.load(path)
@@ -53,12 +54,5 @@ def write_table(
     """Overwrite ``path``; CSV gets a header."""
     writer = df.write.mode("overwrite").format(fmt).partitionBy(*partition_by)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).option("escape", '"')
     writer.save(path)
-
-
-def publish_snapshot(df: DataFrame, path: str, refit: bool, fmt: str = "parquet") -> bool:
-    """Write the training snapshot only when the model is to be refitted."""
-    if refit:
-        write_table(df, path, fmt)
-    return refit
