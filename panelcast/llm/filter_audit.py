@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import permutations
+from itertools import islice, permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.term_matrix import compressed_rows, encoded, packed
+from panelcast.llm.term_matrix import compressed_rows, encoded, packed, string_hashes
 from panelcast.llm.words import slices, utf8
 from panelcast.runtime import cut_lineage
 
@@ -24,38 +26,44 @@ class AuditParams:
     least_words: int = 200  # A
     least_distinct: int = 50  # B: distinct words, in percent of all
     most_capitals: int = 3  # C: in percent of all characters
-    symbols: str = "[#$%&*|]"  # D
+    symbols: str = "#$%&*|"  # D
     shard_bytes: int = 4 << 20  # of text; a longer text is a shard of its own
+    bucket_words: int = 1 << 17  # entries of the shards' dictionaries that are numbered together
 
 
 # --- the document-term matrix -----------------------------------------------------------------
 
-def local_shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
+Measure = Callable[[pa.Array], dict[str, pa.Array]]
+
+
+def local_shards(docs: DataFrame, shard_bytes: int, measure: Measure, measured: str) -> DataFrame:
     """Shards of consecutive documents, each a CSR matrix over its own dictionary ``words``.
 
-    ``docs``: text, and other columns, which become one struct per matrix row in ``rows``. Shards
+    ``docs``: text, and other columns, which become one struct per matrix row in ``rows`` together
+    with what ``measure`` finds in the texts. Words are numbered by their hashes, ascending. Shards
     are numbered within the task, so a repeated task numbers them alike.
     """
     rest = [c for c in docs.columns if c != "text"]
-    row = docs.select(F.struct(*rest)).schema[0].dataType
-    schema = (
-        f"shard bigint, rows array<{row.simpleString()}>, indptr array<int>, indices array<int>, "
-        "counts array<int>, words array<string>"
-    )
+    fields = ", ".join(f"`{c}`: {t}" for c, t in docs.select(*rest).dtypes)
+    row = f"struct<{', '.join(filter(None, [fields, measured]))}>"
+    schema = f"shard bigint, rows array<{row}>, indptr array<int>, indices array<int>, counts array<int>, words array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 33
         for batch in batches:
             texts = batch.column("text")
             for a, b in slices(utf8(texts)[1], shard_bytes):
-                runs, before = packed(texts.slice(a, b - a))
+                some = texts.slice(a, b - a)
+                runs, before = packed(some)
                 numbers, words = encoded(runs)
-                csr = compressed_rows(numbers, before, len(words))
-                rows = pa.StructArray.from_arrays([batch.column(c).slice(a, b - a) for c in rest], rest)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard]), one(rows), *[one(pa.array(x.astype(np.int32))) for x in csr], one(words.cast(pa.string()))],
-                    ["shard", "rows", "indptr", "indices", "counts", "words"],
-                )
+                order = np.argsort(string_hashes(words), kind="stable")
+                place = np.empty(len(words), np.int64)
+                place[order] = np.arange(len(words))
+                csr = compressed_rows(place[numbers], before, len(words))
+                found = {**{c: batch.column(c).slice(a, b - a) for c in rest}, **measure(some)}
+                rows = pa.StructArray.from_arrays(list(found.values()), list(found))
+                lists = [one(rows), *[one(pa.array(x.astype(np.int32))) for x in csr], one(words.take(pa.array(order)).cast(pa.string()))]
+                yield pa.RecordBatch.from_arrays([pa.array([shard]), *lists], ["shard", "rows", "indptr", "indices", "counts", "words"])
                 shard += 1
 
     return docs.select("text", *rest).mapInArrow(run, schema)
@@ -66,45 +74,81 @@ def one(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """(word, id): the distinct words numbered from 0 without gaps.
+def pieces(local: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, shard, words): each shard's dictionary cut at equal steps of the hash, space-joined."""
+    edges = np.array([(i << 64) // buckets for i in range(buckets)], np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, words in zip(batch.column("shard").to_pylist(), batch.column("words")):
+                cuts = np.append(np.searchsorted(string_hashes(words.values), edges), len(words.values))
+                full = np.flatnonzero(np.diff(cuts))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(cuts[full], cuts[-1]).astype(np.int32)), words.values)
+                joined = pc.binary_join(lists, " ")
+                yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(np.full(len(full), shard)), joined], ["bucket", "shard", "words"])
+
+    return local.select("shard", "words").mapInArrow(run, "bucket bigint, shard bigint, words string")
+
+
+def numbered(parts: DataFrame) -> DataFrame:
+    """(bucket, shard, ids, fresh): the words of ``pieces`` numbered per bucket in order of appearance.
 
-    A word's number is its place in its partition plus the sizes of the partitions before; only one
-    size per partition meets in one task.
+    ``fresh`` are those that no earlier row of the bucket has. A task holds the distinct words of one
+    bucket at a time, however many shards have them.
     """
-    placed = cut_lineage(words.select("word").distinct().withColumn("place", F.monotonically_increasing_id()))
-    part = F.shiftright("place", 33)
-    sizes = placed.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    all_sizes = F.sort_array(F.collect_list(F.struct("part", "n")))
-    before = F.aggregate(F.filter("s", lambda x: x["part"] < F.col("part")), F.lit(0).cast("long"), lambda a, x: a + x["n"])
-    offsets = sizes.crossJoin(sizes.agg(all_sizes.alias("s"))).select("part", before.alias("before"))
-    numbered = placed.withColumn("part", part).join(offsets, "part")
-    return numbered.select("word", (F.col("before") + F.expr("place & 8589934591")).alias("id"))
-
-
-def document_terms(docs: DataFrame, shard_bytes: int = AuditParams.shard_bytes) -> tuple[DataFrame, DataFrame]:
-    """CSR shards over one dictionary of all words, and the dictionary (word, id).
-
-    ``docs``: text (null: empty) and other columns. A shard has ``rows`` (one struct of the other
-    columns per document), ``indptr``, ``indices`` (word ids) and ``counts``. Texts are split in one
-    pass. What then meets over the network is each shard's dictionary, one row per word and shard,
-    and the shards themselves, numbered; a frequent word is one row per shard at most.
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, known = None, {}
+        for batch in batches:
+            for bucket, shard, words in zip(*(batch.column(c).to_pylist() for c in ("bucket", "shard", "words"))):
+                if bucket != at:
+                    at, known = bucket, {}
+                old = len(known)
+                ids = [known.setdefault(w, len(known)) for w in words.split(" ")]
+                fresh = [*islice(reversed(known), len(known) - old)][::-1]
+                lists = [one(pa.array(ids, pa.int32())), one(pa.array(fresh, pa.string()))]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([shard]), *lists], ["bucket", "shard", "ids", "fresh"])
+
+    dealt = parts.repartition("bucket").sortWithinPartitions("bucket", "shard")
+    return dealt.mapInArrow(run, "bucket bigint, shard bigint, ids array<int>, fresh array<string>")
+
+
+def document_terms(
+    docs: DataFrame, params: AuditParams, measure: Measure = lambda texts: {}, measured: str = ""
+) -> tuple[DataFrame, DataFrame]:
+    """CSR shards over one dictionary of all words, and the dictionary (word, id), ids without gaps.
+
+    ``docs``: text (null: empty) and other columns. A shard has ``rows`` (one struct per document of
+    the other columns and what ``measure`` finds), ``indptr``, ``indices`` (word ids) and ``counts``.
+    Texts are split in one pass. The dictionaries of the shards then meet by hash, cut into so many
+    buckets that one has about ``bucket_words`` entries, and go back as numbers; a frequent word is
+    one entry per shard at most.
     """
-    local = cut_lineage(local_shards(docs, shard_bytes))
-    words = local.select("shard", F.posexplode("words").alias("local", "word"))
-    known = cut_lineage(dictionary(words))
-    renumbered = words.join(known, "word").select(F.col("shard").alias("of"), "local", "id")
+    local = cut_lineage(local_shards(docs, params.shard_bytes, measure, measured))
+    entries = local.agg(F.coalesce(F.sum(F.size("words").cast("long")), F.lit(0))).first()[0]
+    known = cut_lineage(numbered(pieces(local, max(1, -(-entries // params.bucket_words)))))
+    # one row per bucket meets in one task
+    sizes = known.groupBy("bucket").agg(F.sum(F.size("fresh").cast("long")).alias("n"))
+    before = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = cut_lineage(sizes.select("bucket", F.coalesce(before, F.lit(0)).alias("start")))
+    new = known.select("bucket", "shard", "fresh").where("size(fresh) > 0").join(starts, "bucket")
+    past = F.sum(F.size("fresh").cast("long")).over(Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    words = new.withColumn("start", F.col("start") + F.coalesce(past, F.lit(0))).select("start", F.posexplode("fresh").alias("i", "word"))
+    global_ids = known.join(starts, "bucket").select(F.col("shard").alias("of"), "bucket", "start", "ids")
     shards = local.drop("words")
     row = shards.schema["rows"].dataType.simpleString()
 
     def globally(shard: pa.Table, ids: pa.Table) -> pa.Table:
-        at = np.zeros(ids.num_rows, np.int64)
-        at[ids.column("local").to_numpy()] = ids.column("id").to_numpy()
+        ids = ids.sort_by("bucket").combine_chunks()
+        at = ids.column("ids").combine_chunks()
+        size = pc.list_value_length(at).to_numpy() if ids.num_rows else np.zeros(0, np.int64)
+        number = np.repeat(ids.column("start").to_numpy(), size) + at.flatten().to_numpy()
         indices = shard.column("indices").combine_chunks().values.to_numpy()
-        return shard.set_column(shard.column_names.index("indices"), "indices", one(pa.array(at[indices])))
+        return shard.set_column(shard.column_names.index("indices"), "indices", one(pa.array(number[indices], pa.int64())))
 
     schema = f"shard bigint, rows {row}, indptr array<int>, indices array<bigint>, counts array<int>"
-    return shards.groupBy("shard").cogroup(renumbered.groupBy("of")).applyInArrow(globally, schema), known
+    encoded_shards = shards.groupBy("shard").cogroup(global_ids.groupBy("of")).applyInArrow(globally, schema)
+    return encoded_shards, words.select("word", (F.col("start") + F.col("i")).alias("id"))
 
 
 def row_sums(shards: DataFrame) -> DataFrame:
@@ -128,6 +172,27 @@ def row_sums(shards: DataFrame) -> DataFrame:
 
 # --- the audit --------------------------------------------------------------------------------
 
+def flags(params: AuditParams) -> Measure:
+    """Per text: c, too many capitals; d, holds a symbol; digest, SHA-256."""
+    wanted = np.zeros(256, bool)
+    wanted[list(params.symbols.encode())] = True
+
+    def measure(texts: pa.Array) -> dict[str, pa.Array]:
+        data, at = utf8(texts)
+
+        def held(mask: np.ndarray) -> np.ndarray:
+            return np.diff(np.searchsorted(np.flatnonzero(mask), at))
+
+        capitals = held((data >= 65) & (data <= 90))
+        characters = np.diff(at) - held((data & 0xC0) == 0x80)  # bytes that continue a character
+        view = memoryview(np.ascontiguousarray(data))
+        digests = [hashlib.sha256(view[a:b]).digest() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+        many = 100 * capitals > params.most_capitals * characters
+        return {"c": pa.array(many), "d": pa.array(held(wanted[data]) > 0), "digest": pa.array(digests, pa.binary())}
+
+    return measure
+
+
 def failures(docs: DataFrame, params: AuditParams = AuditParams()) -> DataFrame:
     """(doc_id, part, fails): one bit per filter that a document fails, A the lowest.
 
@@ -136,13 +201,9 @@ def failures(docs: DataFrame, params: AuditParams = AuditParams()) -> DataFrame:
     with a smaller doc_id; a document without doc_id has none larger and comes after all others,
     repeated ids are not smaller than each other.
     """
-    text = F.coalesce("text", F.lit(""))
-    attached = docs.select(
-        text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"),
-        (100 * F.regexp_count(text, F.lit("[A-Z]")).cast("long") > params.most_capitals * F.length(text)).alias("c"),
-        text.rlike(params.symbols).alias("d"), F.unhex(F.sha2(text, 256)).alias("digest"),
-    )
-    sums = row_sums(document_terms(attached, params.shard_bytes)[0])
+    own = docs.select("text", F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("lang", F.lit("")).alias("part"))
+    shards, _ = document_terms(own, params, flags(params), "c: boolean, d: boolean, digest: binary")
+    sums = row_sums(shards)
     few = F.col("n_words") < params.least_words
     same = 100 * F.col("n_distinct") < params.least_distinct * F.col("n_words")
     bits = few.cast("int") + 2 * same.cast("int") + 4 * F.col("c").cast("int") + 8 * F.col("d").cast("int")

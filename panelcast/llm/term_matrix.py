@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-from panelcast.llm.words import SPACE, utf8
+from panelcast.llm.words import SPACE, utf8, word_hashes
 
 WORD_BYTES = ~SPACE
 
@@ -22,15 +22,15 @@ def packed(column: pa.Array, inside: np.ndarray = WORD_BYTES, fold: np.ndarray |
     held = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    first = held.copy()
+    first, last = held.copy(), held.copy()
     first[1:] &= ~held[:-1] | edge[1:-1]
+    last[:-1] &= ~held[1:] | edge[1:-1]
     starts = np.flatnonzero(first)
+    # where each run begins once the bytes between runs are gone
+    at = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)])
     flat = data[held]
     if fold is not None:
         flat = fold[flat]
-    # where each run begins once the bytes between runs are gone
-    begins = (np.cumsum(held) - 1)[starts]
-    at = np.append(begins, len(flat)).astype(np.int64)
     runs = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(flat)))
     return runs, np.searchsorted(starts, offsets)
 
@@ -50,3 +50,9 @@ def encoded(runs: pa.Array) -> tuple[np.ndarray, pa.Array]:
         return np.zeros(0, np.int64), runs
     held = runs.dictionary_encode()
     return held.indices.to_numpy().astype(np.int64), held.dictionary
+
+
+def string_hashes(strings: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each string."""
+    data, at = utf8(strings)
+    return word_hashes(data, at[:-1], at[1:])

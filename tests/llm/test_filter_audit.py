@@ -73,12 +73,12 @@ def test_report_equals_brute_force(spark, seed, shard_bytes):
         old = seen.get(i, (0, 0))
         seen[i] = (max(old[0], q or 0), max(old[1], t or 0))
     want = brute(rows, [(i, *m) for i, m in seen.items() if i is not None])
-    assert got(spark, rows, labels, shard_bytes=shard_bytes) == want
+    assert got(spark, rows, labels, shard_bytes=shard_bytes, bucket_words=shard_bytes) == want
 
 
 def test_matrix_has_one_number_per_word_and_exact_cells(spark):
     rows = [(1, "a b a", "x"), (2, None, "x"), (3, "b c  c\nc é", "x"), (4, " ", "x"), (5, "word " * 30_000 + "a", "x")]
-    shards, known = audit.document_terms(spark.createDataFrame(rows, DOCS).repartition(2), 8)
+    shards, known = audit.document_terms(spark.createDataFrame(rows, DOCS).repartition(2), audit.AuditParams(shard_bytes=8, bucket_words=2))
     words = {r.id: r.word for r in known.collect()}
     assert sorted(words) == list(range(len(words))) and len(set(words.values())) == len(words) == 5
     cells = {}
