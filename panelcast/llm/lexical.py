@@ -14,15 +14,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.llm.term_matrix import compressed_rows, encoded, packed
-from panelcast.llm.words import slices, utf8, word_hashes
+from panelcast.llm.term_matrix import compressed_rows, encoded, packed, string_hashes
+from panelcast.llm.words import mix, slices, utf8
 from panelcast.runtime import cut_lineage
 
 # A term is a longest run of ASCII letters, digits and characters beyond ASCII, A-Z in lower case.
 TERM_BYTES = np.array([chr(b).isalnum() or b >= 128 for b in range(256)])
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
-CODES = 255  # a coordinate holds a term count; this one stands for it and all above
+# A coordinate holds a term count in two bits: none, 1, up to 3, more.
+STEPS = np.array([1, 3], np.int64)
+MORE = len(STEPS) + 1
 UNIT, SLOPE, LENGTH = 1_000_000_000, 1000, 20  # an impact is UNIT * tf div (SLOPE * tf + LENGTH * m)
 FLAT, FULL = 50, 100  # m is FULL - FLAT + (FLAT * n * N) div L
 
@@ -30,8 +32,10 @@ FLAT, FULL = 50, 100  # m is FULL - FLAT + (FLAT * n * N) div L
 @dataclass(frozen=True)
 class RankParams:
     k: int = 50
-    spread: int = 8  # coordinates of a sketch per distinct term, rounded up to a power of two
-    slice_bytes: int = 4 << 20  # of text that one step of a task holds
+    spread: int = 16  # coordinates of a sketch per distinct term, rounded up to a power of two
+    hashes: int = 4  # coordinates of a term
+    slice_bytes: int = 2 << 20  # of text that one step of a task holds
+    step_cells: int = 1 << 20  # documents × (queries + terms) that one step of a task holds
     block_terms: int = 1 << 20  # terms of the queries searched in one pass over the sketches
     broadcast_rows: int = 1 << 20  # first candidates, at most k per query, are broadcast up to here
     group: int = 256  # documents scored exactly before bounds are looked at again
@@ -43,24 +47,27 @@ def terms_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return packed(column, TERM_BYTES, LOWER)
 
 
-def term_hashes(terms: pa.Array) -> np.ndarray:
-    data, at = utf8(terms)
-    return word_hashes(data, at[:-1], at[1:])
+def coordinates(terms: pa.Array, hashes: int) -> np.ndarray:
+    """``hashes`` 64-bit hashes of each term; the low bits are its coordinates."""
+    first = string_hashes(terms)
+    return np.stack([mix(first + np.uint64(i)) for i in range(hashes)])
 
 
 def sketched(hashes: np.ndarray, indptr: np.ndarray, indices: np.ndarray, counts: np.ndarray, spread: int) -> tuple[np.ndarray, np.ndarray]:
-    """The sketches of CSR rows one after the other, and where each begins.
+    """The sketches of CSR rows one after the other, four coordinates a byte, and where each begins.
 
-    A coordinate holds the largest count among the terms that hash to it, or CODES.
+    A coordinate holds the largest count, as a code, among the terms that hash to it.
     """
     distinct = np.diff(indptr)
-    width = np.where(distinct, 1 << np.ceil(np.log2(np.maximum(distinct * spread, 1))).astype(np.int64), 0)
+    width = np.where(distinct, 1 << np.ceil(np.log2(np.maximum(distinct * spread, 4))).astype(np.int64), 0)
     begins = np.concatenate([[0], np.cumsum(width)])
     row = np.repeat(np.arange(len(distinct)), distinct)
-    place = begins[row] + (hashes[indices] & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+    code = (np.searchsorted(STEPS, counts) + 1).astype(np.uint8)
     held = np.zeros(begins[-1], np.uint8)
-    np.maximum.at(held, place, np.minimum(counts, CODES).astype(np.uint8))
-    return held, begins
+    for own in hashes:
+        np.maximum.at(held, begins[row] + (own[indices] & (width[row] - 1).astype(np.uint64)).astype(np.int64), code)
+    quarters = held.reshape(-1, 4)
+    return quarters[:, 0] | quarters[:, 1] << 2 | quarters[:, 2] << 4 | quarters[:, 3] << 6, begins // 4
 
 
 def index(docs: DataFrame, params: RankParams = RankParams()) -> tuple[DataFrame, DataFrame]:
@@ -86,7 +93,7 @@ def index(docs: DataFrame, params: RankParams = RankParams()) -> tuple[DataFrame
                 runs, before = terms_of(texts.slice(a, b - a))
                 numbers, terms = encoded(runs)
                 indptr, indices, counts = compressed_rows(numbers, before, len(terms))
-                held, begins = sketched(term_hashes(terms), indptr, indices, counts, params.spread)
+                held, begins = sketched(coordinates(terms, params.hashes), indptr, indices, counts, params.spread)
                 sketch = pa.Array.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(begins.astype(np.int64)), pa.py_buffer(held)])
                 yield made(
                     b - a, kind=pa.array(np.zeros(b - a, np.int32)), row=pa.array(np.arange(row, row + b - a)),
@@ -102,7 +109,7 @@ def index(docs: DataFrame, params: RankParams = RankParams()) -> tuple[DataFrame
                     )
 
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    stored = cut_lineage(read.mapInArrow(run, schema), ("kind",))
+    stored = cut_lineage(read.mapInArrow(run, schema))
     sketches = stored.where("kind = 0").select("row", "doc_id", "text", "n", "sketch")
     return sketches, stored.where("kind = 1").select("terms", "holders")
 
@@ -135,14 +142,14 @@ def query_terms(items: DataFrame) -> DataFrame:
 class Block:
     """The terms of some queries as a sparse matrix, with weights from how many documents hold them."""
 
-    def __init__(self, rows: pd.DataFrame, documents: int, total: int, k: int):
+    def __init__(self, rows: pd.DataFrame, documents: int, total: int, hashes: int):
         rows = rows[rows["df"] > 0]  # no document holds the others
-        self.k, self.documents, self.total = k, documents, total
+        self.documents, self.total = documents, total
         self.queries, query = np.unique(rows["query"].to_numpy(np.int64), return_inverse=True)
         self.vocabulary, first, term = np.unique(rows["term"].to_numpy(object), return_index=True, return_inverse=True)
         df = rows["df"].to_numpy(np.int64)[first]
         self.weights = np.array([math.floor(1000 * math.log((2 * documents + 2) / (2 * int(d) + 1))) for d in df], np.int64)
-        self.hashes = term_hashes(pa.array(self.vocabulary, pa.large_string())) if len(df) else np.zeros(0, np.uint64)
+        self.hashes = coordinates(pa.array(self.vocabulary, pa.large_string()), hashes)
         by_term = np.argsort(term, kind="stable")
         self.of_query = query[by_term]
         self.ptr = np.searchsorted(term[by_term], np.arange(len(df) + 1))
@@ -166,15 +173,25 @@ class Block:
         return out.reshape(rows, len(self.queries))
 
     def bounds(self, sketches: pa.Array, n: np.ndarray) -> np.ndarray:
-        """rows × queries: no score is larger. A term's count is at most its coordinate."""
+        """rows × queries: no score is larger. A term's count is at most that of each of its coordinates."""
         flat, at = utf8(sketches)
-        width = np.diff(at)
+        width = 4 * np.diff(at)
+
+        def looked_up(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+            place = (hashes & np.maximum(width[row] - 1, 0).astype(np.uint64)).astype(np.int64)
+            return flat[at[row] + (place >> 2)] >> ((place & 3) << 1).astype(np.uint8) & 3
+
         some = np.flatnonzero(width)
-        place = (self.hashes[None, :] & (width[some, None] - 1).astype(np.uint64)).astype(np.int64) + at[some, None]
-        codes = flat[place] if len(some) else np.zeros((0, len(self.hashes)), np.uint8)
+        if not len(some):
+            return np.zeros((len(n), len(self.queries)), np.int64)
+        codes = looked_up(some[:, None], self.hashes[0][None, :])
         i, term = np.nonzero(codes)
-        code, row = codes[i, term].astype(np.int64), some[i]
-        impact = np.where(code == CODES, UNIT // SLOPE, self.impacts(code, n[row]))
+        row, code = some[i], codes[i, term]
+        for hashes in self.hashes[1:]:
+            code = np.minimum(code, looked_up(row, hashes[term]))
+            row, term, code = row[code > 0], term[code > 0], code[code > 0]
+        most = np.append(STEPS, 0)[np.minimum(code, MORE) - 1]
+        impact = np.where(code == MORE, UNIT // SLOPE, self.impacts(np.maximum(most, 1), n[row]))
         return self.added(row, term, impact, len(n))
 
     def scores(self, texts: pa.Array, n: np.ndarray) -> np.ndarray:
@@ -208,7 +225,7 @@ class Best:
 
 def steps(batches: Iterator[pa.RecordBatch], block: Block, params: RankParams) -> Iterator[pa.RecordBatch]:
     """Batches cut so that rows × (queries + terms) stays bounded."""
-    size = max(1, (1 << 22) // max(1, len(block.queries) + len(block.vocabulary)))
+    size = max(1, params.step_cells // max(1, len(block.queries) + len(block.vocabulary)))
     for batch in batches:
         for a in range(0, batch.num_rows, size):
             yield batch.slice(a, size)
@@ -290,8 +307,9 @@ def ranked_search(docs: DataFrame, items: DataFrame, params: RankParams = RankPa
 
     ``docs``: doc_id, text; ``items``: item_id, text; other columns are ignored. A term's impact in a
     document grows with its count, so a sketch of the largest count per coordinate also has the
-    largest impact per coordinate, once the corpus' mean length is known. A query's bound is the sum
-    of its terms' weights times the impacts at their coordinates.
+    largest impact per coordinate, once the corpus' mean length is known. A term has several
+    coordinates; the least of their impacts bounds its own. A query's bound is the sum of its terms'
+    weights times these.
 
     Each pass over the sketches answers a block of queries of bounded size: first the k best bounds
     per query are scored, which gives a threshold, then all documents whose bounds reach it. Equal
@@ -315,7 +333,7 @@ def ranked_search(docs: DataFrame, items: DataFrame, params: RankParams = RankPa
     found = []
     for b in range(blocks):
         rows = weighed.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == b).select("query", "term", "df").toPandas()
-        block = Block(rows, documents, total, params.k)
+        block = Block(rows, documents, total, params.hashes)
         if len(block.queries):
             local = swept(sketches, block, thresholds(sketches, block, params), params)
             order = Window.partitionBy("query").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
