@@ -15,6 +15,7 @@ from panelcast.operators import lookup as L
 from panelcast.operators import order as O
 from panelcast.operators import panel as N
 from panelcast.operators import periods as D
+from panelcast.operators import ranges as G
 from panelcast.operators import trailing as T
 from panelcast.operators.scan import STATS
 from panelcast.plans import oracle as Q
@@ -465,6 +466,24 @@ def _(spark, sf):
     return tidy(O.ordinal(keys, "showdate", "showid", name="show_nm"), "showid", "show_nm")
 
 
+# The same operators where ids are hashes, so that blocks of ids are no help.
+_HASHED = "CAST('0x' || substr(md5(CAST(CAST(showid AS BIGINT) AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+def _hashed_shows(spark, sf):
+    key = F.conv(F.substring(F.md5(F.col("showid").cast("long").cast("string")), 1, 15), 16, 10).cast("long")
+    return shows_(spark, sf).select(key.alias("hashed"), "showdate", "tourid")
+
+
+@query("ordinals_of_hashed_ids", sql(f"""SELECT hashed, CAST(row_number() OVER w AS BIGINT) AS number, lag(showdate) OVER w AS before,
+  CAST(last_value(tourid IGNORE NULLS) OVER w AS BIGINT) AS filled FROM (SELECT *, {_HASHED} AS hashed FROM elig)
+  WINDOW w AS (ORDER BY showdate, hashed ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""))
+def _(spark, sf):
+    """Number, previous day and filled tour of every show in the order of day and a hashed id."""
+    out = G.running(_hashed_shows(spark, sf), ["showdate", "hashed"], {"number": 1}, {"before": "showdate"}, {"filled": "tourid"})
+    return tidy(out, "hashed", "number", "before", "filled")
+
+
 @query("previous_period", sql(f"SELECT {whole('new_tourid', 'prev_tourid')} FROM trs "
                               "UNION ALL SELECT showyear, prev_year FROM yrs"))
 def _(spark, sf):
