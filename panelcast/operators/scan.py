@@ -21,9 +21,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from panelcast.runtime import cut_lineage
+
 BLOCK_BITS = 20  # ids inside one date are cut into blocks of 2**20
 CHUNK_LIMIT = 2**16  # rows of one key that may share a year or a month
 CHUNK_ROWS = 4096  # rows of one key that share a growing frame in expanding_stats
+FAN = 64  # ranges into which a key's values are cut, twice
+FEW_CHUNKS = 64  # up to so many chunks of one key, values are repeated per chunk
 
 
 @dataclass(frozen=True)
@@ -245,9 +249,12 @@ def expanding_stats(df: DataFrame, *passes: Expanding, chunk_rows: int = CHUNK_R
     """Min, max, mean and exact interpolated median of a value up to and including each row.
 
     The position in the key cuts it into chunks of ``chunk_rows``. Each later chunk starts from
-    the value counts of the rows before it. Of those counts only the ones that the median can
-    still reach are kept apart; the rest is folded into one entry at either end, so a frame holds
-    about two chunks of values however long the history is. Rows with a null key get null stats.
+    the counts of those values before it that its medians can still reach; the rest is folded into
+    one entry at either end, so a frame holds about two chunks of values however long the history
+    is. For long histories, finding them takes work in proportion to the rows (times the logarithm
+    of the number of chunks) up to ``chunk_rows * FAN**2`` rows of one key, see ``_start_by_ranges``.
+    Whether there are any is asked in a small job. Rows with a null
+    key get null stats.
     Each pass reads only columns of ``df``; as that is read a few times, it should be a scan of
     stored data.
     """
@@ -274,15 +281,27 @@ def _expand(base: DataFrame, out: DataFrame, one: Expanding, chunk_rows: int) ->
     }
     named = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.lit(True))
     return (
-        rows.unionByName(start, allowMissingColumns=True)
+        (rows if start is None else rows.unionByName(start, allowMissingColumns=True))
         .select("*", *[stats[s].alias(f"__{s}_so_far") for s in one.names])
         .where("__row = 1")
         .select(*columns, *[F.when(named, F.col(f"__{s}_so_far")).alias(n) for s, n in one.names.items()])
     )
 
 
-def _chunk_start(chunked: DataFrame, value: str, keys: list[str], chunk_rows: int) -> DataFrame:
-    """Value counts of all rows before each chunk but the first."""
+def _chunk_start(chunked: DataFrame, value: str, keys: list[str], chunk_rows: int, few: int = FEW_CHUNKS) -> DataFrame | None:
+    """What lies before each chunk but the first, None if no key has a second one.
+
+    Both ways give the same frames: one repeats each value in every later chunk, which is fast for
+    short histories, the other takes work in proportion to the rows.
+    """
+    most = chunked.agg(F.max("__chunk")).first()[0]
+    if not most:
+        return None
+    return (_start_by_values if most <= few else _start_by_ranges)(chunked, value, keys, chunk_rows)
+
+
+def _start_by_values(chunked: DataFrame, value: str, keys: list[str], chunk_rows: int) -> DataFrame:
+    """Value counts of all rows before each chunk but the first, each value once per later chunk."""
     last = (
         chunked.groupBy(*keys).agg(F.max("__chunk").alias("__last")).where("__last > 0")
     )
@@ -325,3 +344,85 @@ def _chunk_start(chunked: DataFrame, value: str, keys: list[str], chunk_rows: in
         )
         .select(*keys, "__chunk", "__v", "__n", "__sum", F.lit(0).alias("__row"))
     )
+
+
+def _start_by_ranges(chunked: DataFrame, value: str, keys: list[str], chunk_rows: int) -> DataFrame:
+    """What lies before each chunk but the first: the values that its medians can reach, each with
+    its count, and one entry for all below and one for all above.
+
+    The values of a key are cut into FAN ranges, each of these into FAN again. Going down from all
+    values, each chunk counts what came before it in the ranges of two nodes only, those that hold
+    the lowest and the highest rank its medians can reach, so a level takes 2 * FAN rows per chunk.
+    Then the ranges between the two are opened; a range holds few rows, and an early chunk, which
+    opens many, has few rows before it.
+    """
+    key = [f"__k{i}" for i in range(len(keys))]
+    named = chunked.where(F.col(value).isNotNull()).select(*[F.col(k).alias(n) for k, n in zip(keys, key)], "__chunk", F.col(value).alias("__v"))
+    last = chunked.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, key)]).agg(F.max("__chunk").alias("__last")).where("__last > 0")
+    counts = named.groupBy(*key, "__chunk", "__v").agg(F.count(F.lit(1)).alias("__n")).join(last, key)
+    steps = F.array(*[F.lit(i / FAN) for i in range(1, FAN)])
+
+    def cut(rows: DataFrame, node: list[str], name: str) -> DataFrame:
+        """Add the value's range below its node; equal values share one."""
+        cuts = rows.groupBy(*node).agg(F.percentile_approx(F.col("__v").cast("double"), steps, 10 * FAN).alias("__cuts"))
+        below = F.size(F.filter("__cuts", lambda c: c < F.col("__v").cast("double")))
+        return rows.join(cuts, node).withColumn(name, below).drop("__cuts")
+
+    counts = cut_lineage(cut(cut_lineage(cut(cut_lineage(counts), key, "__a")), [*key, "__a"], "__b"))
+    # per chunk: how many values came before it, their sum and extremes
+    total = counts.groupBy(*key, "__chunk").agg(
+        F.sum("__n").alias("__n"), F.sum(F.col("__v") * F.col("__n")).alias("__sum"), F.min("__v").alias("__min"), F.max("__v").alias("__max")
+    )
+    chunks = last.select(*key, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__last"))).alias("__chunk"))
+    past = Window.partitionBy(*key).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = chunks.join(total, [*key, "__chunk"], "left").select(
+        *key, "__chunk", *[f("__" + c).over(past).alias("__" + c) for c, f in (("n", F.sum), ("sum", F.sum), ("min", F.min), ("max", F.max))]
+    ).where("__n > 0")
+    before = cut_lineage(before)
+    # the ranks, from 1, that the medians of the chunk's rows can need
+    low = F.greatest(F.floor((F.col("__n") - chunk_rows) / 2) - 1, F.lit(1))
+    high = F.least(F.ceil((F.col("__n") + chunk_rows) / 2) + 2, F.col("__n"))
+    asked = before.select(*key, "__chunk", F.explode(F.array(low, high)).alias("__rank"), F.lit(0).cast("long").alias("__base")).distinct()
+    down = _down(counts, cut_lineage(_down(counts, cut_lineage(asked), key, [], "__a")), key, ["__a"], "__b")
+    ends = down.groupBy(*key, "__chunk").agg(
+        *[f(F.struct("__rank", "__a", "__b", "__base")).alias(n) for f, n in ((F.min, "__low"), (F.max, "__high"))]
+    )
+    leaf = lambda e: F.col(f"{e}.__a") * FAN + F.col(f"{e}.__b")
+    ends = cut_lineage(ends)
+    opened = ends.select(*key, F.col("__chunk").alias("__at"), F.explode(F.sequence(leaf("__low"), leaf("__high"))).alias("__leaf"))
+    kept = (
+        counts.withColumn("__leaf", F.col("__a") * FAN + F.col("__b")).join(opened, [*key, "__leaf"]).where("__chunk < __at")
+        .groupBy(*key, F.col("__at").alias("__chunk"), "__v").agg(F.sum("__n").alias("__n"))
+    )
+    kept = cut_lineage(kept)
+    inner = kept.groupBy(*key, "__chunk").agg(F.sum("__n").alias("__in"), F.sum(F.col("__v") * F.col("__n")).alias("__in_sum"))
+    rest = before.join(inner, [*key, "__chunk"]).join(ends.select(*key, "__chunk", F.col("__low.__base").alias("__below")), [*key, "__chunk"])
+    above = F.col("__n") - F.col("__in") - F.col("__below")
+    left = F.col("__sum") - F.col("__in_sum")
+    outer = rest.select(*key, "__chunk", F.inline(F.array(
+        F.struct(F.col("__min").alias("__v"), F.col("__below").alias("__n"), F.when(F.col("__below") > 0, left).otherwise(left * 0).alias("__sum")),
+        F.struct(F.col("__max").alias("__v"), above.alias("__n"), F.when(F.col("__below") > 0, left * 0).otherwise(left).alias("__sum")),
+    ))).where("__n > 0")
+    both = kept.select(*key, "__chunk", "__v", "__n", (F.col("__v") * F.col("__n")).alias("__sum")).unionByName(outer)
+    return both.select(*[F.col(n).alias(k) for k, n in zip(keys, key)], "__chunk", "__v", "__n", "__sum", F.lit(0).alias("__row"))
+
+
+def _down(counts: DataFrame, asked: DataFrame, key: list[str], node: list[str], child: str) -> DataFrame:
+    """One level down: the range ``child`` below ``node`` that holds each asked rank.
+
+    ``__base`` becomes the number of values before the chunk that lie below that range. What came
+    before a chunk in a range is a running sum in which the asking rows stand between the counts, so
+    rows and questions meet without being paired.
+    """
+    inside = [*key, *node]
+    events = counts.groupBy(*inside, child, "__chunk").agg(F.sum("__n").alias("__n")).withColumn("__asks", F.lit(1))
+    every = F.explode(F.sequence(F.lit(0), F.lit(FAN - 1))).alias(child)
+    questions = asked.select(*inside, "__chunk").distinct().select(*inside, "__chunk", every, F.lit(0).cast("long").alias("__n"), F.lit(0).alias("__asks"))
+    along = Window.partitionBy(*inside, child).orderBy("__chunk", "__asks").rowsBetween(Window.unboundedPreceding, 0)
+    held = events.unionByName(questions).withColumn("__held", F.sum("__n").over(along)).where("__asks = 0")
+    up = Window.partitionBy(*inside, "__chunk").orderBy(child)
+    spans = held.select(*inside, "__chunk", child, "__held", F.sum("__held").over(up.rowsBetween(Window.unboundedPreceding, 0)).alias("__upto"))
+    met = asked.join(spans, [*inside, "__chunk"])
+    first = F.col("__base") + F.col("__upto") - F.col("__held")
+    here = (F.col("__rank") > first) & (F.col("__rank") <= F.col("__base") + F.col("__upto"))
+    return met.where(here).select(*inside, child, "__chunk", "__rank", first.alias("__base"))

@@ -57,8 +57,9 @@ def test_scan_without_keys_and_by_id(history):
     assert same(out, history.select("*", F.row_number().over(w).cast("long").alias("n"), F.last("v", True).over(past).alias("before")))
 
 
-@pytest.mark.parametrize("chunk_rows", [5, 64, 10_000])
-def test_expanding_stats_equal_growing_frames(history, chunk_rows):
+@pytest.mark.parametrize("chunk_rows,few", [(5, 1000), (64, 1000), (10_000, 0), (20, 0)])
+def test_expanding_stats_equal_growing_frames(history, monkeypatch, chunk_rows, few):
+    monkeypatch.setattr(S._chunk_start, "__defaults__", (few,))
     at = S.scan(history, (S.by_day(["k"], "d", "id"), {"idx": S.running_index()}))
     one = S.Expanding("v", ("k",), ("d", "id"), F.col("idx"), {"min": "lo", "max": "hi", "avg": "av", "median": "med"})
     out = S.expanding_stats(at, one, chunk_rows=chunk_rows).where("k IS NOT NULL")
@@ -83,6 +84,33 @@ def test_expanding_stats_of_doubles(spark):
         assert got[i][0] == pytest.approx(statistics.median(so_far)) and got[i][1] == max(so_far)
 
 
+@pytest.mark.parametrize("kind", ["unique", "sorted", "ties"])
+def test_medians_of_long_histories_take_rows_in_proportion(spark, kind):
+    rng = random.Random(4)
+    n, chunk = 4000, 16  # 250 chunks of one key
+    v = {"unique": lambda i: rng.random(), "sorted": lambda i: -i / 7, "ties": lambda i: float(rng.choice([1, 1, 1, 5, i]))}[kind]
+    rows = [("a", i, None if i % 50 == 3 else v(i)) for i in range(n)] + [("b", i, 1.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "k string, idx long, v double").repartition(4)
+    start = S._start_by_ranges(df.select("k", "v", F.floor(F.col("idx") / chunk).alias("__chunk")), "v", ["k"], chunk)
+    # each chunk's frame: the values its medians can reach and what shares their ranges
+    sizes = {r["__chunk"]: r["count"] for r in start.where("k = 'a'").groupBy("__chunk").count().collect()}
+    assert len(sizes) == n // chunk - 1 and max(sizes.values()) < 6 * chunk + 2 and sum(sizes.values()) < 4 * n
+    one = S.Expanding("v", ("k",), ("idx",), F.col("idx"), {"median": "med", "avg": "av", "min": "lo", "max": "hi"})
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(S._chunk_start, "__defaults__", (0,))
+        got = {(r.k, r.idx): r for r in S.expanding_stats(df, one, chunk_rows=chunk).collect()}
+    import statistics
+
+    so_far = []
+    for _, i, x in rows[:n]:
+        so_far += [x] if x is not None else []
+        if i % 37 == 0 and so_far:
+            r = got["a", i]
+            assert r.med == pytest.approx(statistics.median(so_far)) and r.av == pytest.approx(statistics.fmean(so_far))
+            assert (r.lo, r.hi) == (min(so_far), max(so_far))
+    assert got["b", 39].med == 1.0
+
+
 def test_fitting_grains(history):
     scopes = {"": (), "_k": ("k",)}
     assert S.fitting_grains(history, scopes, "d", limit=10**6) == {"": "year", "_k": "year"}
