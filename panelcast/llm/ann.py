@@ -120,24 +120,47 @@ def visits(tree: Tree, q: np.ndarray, most: int, rows_of: np.ndarray, least_rows
     return out
 
 
-def closest(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
-    """Each query's k nearest of these vectors but itself, by exact distance, ties to smaller ids."""
-    out = []
-    step = max(1, (1 << 21) // max(1, x.size))
-    for a in range(0, len(q), step):
-        far = np.sqrt(((x[None, :, :] - q[a : a + step, None, :]) ** 2).sum(axis=2))
-        for i, row in enumerate(far):
-            row = np.where(ids == query_ids[a + i], np.inf, row)
-            if len(row) > k:
-                some = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-            else:
-                some = np.arange(len(row))
-            some = some[np.lexsort((ids[some], row[some]))][:k]
-            some = some[np.isfinite(row[some])]
-            out.append(pd.DataFrame({"query_id": query_ids[a + i], "vec_id": ids[some], "score": row[some]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+def distances(z: np.ndarray) -> np.ndarray:
+    """Lengths of the rows; squares that overflow are scaled first."""
+    with np.errstate(over="ignore"):
+        out = np.sqrt((z**2).sum(axis=1))
+    far = ~np.isfinite(out)
+    if far.any():
+        most = np.abs(z[far]).max(axis=1, keepdims=True)
+        out[far] = most[:, 0] * np.sqrt(((z[far] / most) ** 2).sum(axis=1))
+    return out
+
 
+def closest(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
+    """Each query's k nearest of these vectors but itself, by exact distance, ties to smaller ids.
 
+    Products preselect: what lies within rounding of the k-th squared distance is measured exactly.
+    """
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    step = max(1, (1 << 21) // max(1, len(x)))
+    with np.errstate(over="ignore", invalid="ignore"):
+        xx, qq = (x**2).sum(axis=1), (q**2).sum(axis=1)
+    for a in range(0, len(q) if len(x) else 0, step):
+        part = q[a : a + step]
+        other = ids[None, :] != query_ids[a : a + step, None]
+        with np.errstate(over="ignore", invalid="ignore"):
+            rough = xx[None, :] + qq[a : a + step, None] - 2 * part @ x.T
+        near = other
+        if len(x) > k and np.isfinite(rough).all():
+            rough[~other] = np.inf
+            off = 1e-12 * (xx.max() + qq[a : a + step].max())
+            near = other & (rough <= np.partition(rough, k - 1, axis=1)[:, k - 1 : k] + 2 * off)
+        i, j = np.nonzero(near)
+        far = np.concatenate([distances(x[j[c : c + (1 << 16)]] - part[i[c : c + (1 << 16)]]) for c in range(0, len(i), 1 << 16)] or [np.zeros(0)])
+        order = np.lexsort((ids[j], far, i))
+        query = i[order]
+        kept = order[np.arange(len(order)) - np.searchsorted(query, query) < k]
+        found.append((query_ids[a + i[kept]], ids[j[kept]], far[kept]))
+    query, vec, far = (np.concatenate(c) for c in zip(*found))
+    return pd.DataFrame({"query_id": query, "vec_id": vec, "score": far})
+
+
+FIRST = 16  # visits before distances are passed on
 PAIR = "query_id long, vec_id long, score double"
 
 
@@ -180,20 +203,24 @@ def searched(index: DataFrame, queries: DataFrame, tree: Tree, rows_of: np.ndarr
     """
     blocks = np.maximum(1, -(-rows_of // params.block_rows))
 
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for i, q in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
-                for leaf in visits(tree, q, most, rows_of, params.k + 1):
-                    rows += [(leaf, b, i, q) for b in range(blocks[leaf]) if rows_of[leaf]]
-            if rows:
-                leaf, block, ids, q = zip(*rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(leaf), pa.array([int(b) for b in block]), pa.array(ids), pa.array(list(q), pa.list_(pa.float64()))],
-                    ["leaf", "block", "query_id", "q"],
-                )
-
-    asked = queries.select("vec_id", "v").mapInArrow(run, "leaf long, block long, query_id long, q array<double>")
+    def asks(first: int, last: int) -> DataFrame:
+        """The visits from number ``first`` up to ``last`` of every query."""
+
+        def run(batches):
+            for batch in batches:
+                rows = []
+                for i, q in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
+                    for leaf in visits(tree, q, most, rows_of, params.k + 1)[first:last]:
+                        rows += [(leaf, b, i, q) for b in range(blocks[leaf]) if rows_of[leaf]]
+                if rows:
+                    leaf, block, ids, q = zip(*rows)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(leaf), pa.array([int(b) for b in block]), pa.array(ids), pa.array(list(q), pa.list_(pa.float64()))],
+                        ["leaf", "block", "query_id", "q"],
+                    )
+
+        return queries.select("vec_id", "v").mapInArrow(run, "leaf long, block long, query_id long, q array<double>")
+
     many = [(int(i), int(blocks[i])) for i in np.flatnonzero(blocks > 1)]
     sizes = index.sparkSession.createDataFrame(many, "leaf long, blocks long")
     held = index.join(F.broadcast(sizes), "leaf", "left")
@@ -202,10 +229,19 @@ def searched(index: DataFrame, queries: DataFrame, tree: Tree, rows_of: np.ndarr
     def compared(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return closest(x["vec_id"].to_numpy(), np.stack(x["v"]), q["query_id"].to_numpy(), np.stack(q["q"]), params.k)
-
-    pairs = held.groupBy("leaf", "block").cogroup(asked.groupBy("leaf", "block")).applyInPandas(compared, PAIR)
-    return ranked(pairs, params.k)
+        found = closest(x["vec_id"].to_numpy(), np.stack(x["v"]), q["query_id"].to_numpy(), np.stack(q["q"]), params.k)
+        limit = q.groupby("query_id")["worst"].max()
+        return found[found["score"].to_numpy() <= limit.loc[found["query_id"]].to_numpy()]
+
+    def pairs(asked: DataFrame) -> DataFrame:
+        return held.groupBy("leaf", "block").cogroup(asked.groupBy("leaf", "block")).applyInPandas(compared, PAIR)
+
+    # the first visits give a k-th distance, beyond which the others return nothing
+    near = cut_lineage(ranked(pairs(asks(0, FIRST).withColumn("worst", F.lit(float("inf")))), params.k))
+    kth = near.where(F.col("rank") == params.k).select("query_id", F.col("score").alias("kth"))
+    rest = asks(FIRST, len(tree.children)).join(kth, "query_id", "left")
+    rest = rest.select("leaf", "block", "query_id", "q", F.coalesce("kth", F.lit(float("inf"))).alias("worst"))
+    return ranked(near.drop("rank").union(pairs(rest)), params.k)
 
 
 def nearest_neighbours(vectors: DataFrame, is_query, params: TreeParams = TreeParams()) -> tuple[DataFrame, dict]:

@@ -74,3 +74,10 @@ def test_visits_are_best_bin_first():
     rows = np.ones(len(tree.children), int)
     order = ann.visits(tree, x[0], 10**6, rows, 0)
     assert sorted(order) == tree.leaves and order[0] == ann.leaf_of(tree, x[:1])[0]
+
+
+def test_vectors_whose_squares_overflow_are_found(spark):
+    rows = [(0, [1e200, 0.0]), (1, [0.0, 1e200]), (2, [3e200, 4e200]), (100, [-1e200, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.vec_id): r.score for r in ann.nearest_neighbours(df, F.col("vec_id") == 0)[0].collect()}
+    assert got == pytest.approx({(0, 1): 2**0.5 * 1e200, (0, 2): 20**0.5 * 1e200, (0, 100): 2e200})
