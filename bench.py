@@ -13,6 +13,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from panelcast.plans import model_queries as m  # noqa: E402
 from panelcast.plans import queries as q  # noqa: E402
 from panelcast.runtime import local_session  # noqa: E402
 
@@ -39,7 +40,7 @@ def main() -> None:
     build = q.build(spark, sf_dir)
     for stage in STAGES:
         timed(f"stage_{stage}", lambda: getattr(build, stage))
-    timed("stage_analytical", lambda: q.stored_sets(spark, sf_dir))
+    timed("stage_analytical", lambda: m.stored_sets(spark, sf_dir))
     for name in OPERATORS:
         timed(name, lambda: q.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save())
     print(

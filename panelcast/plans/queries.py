@@ -53,8 +53,6 @@ def build(spark: SparkSession, sf: str) -> P.PanelBuild:
 
 
 def forget_builds() -> None:
-    from panelcast.plans import model_queries
-
     _BUILDS.clear()
     model_queries.SETS.clear()
 
@@ -717,4 +715,4 @@ def _(spark, sf):
 
 
 # The model's queries register themselves beside these.
-from panelcast.plans.model_queries import stored_sets  # noqa: E402, F401
+from panelcast.plans import model_queries  # noqa: E402
