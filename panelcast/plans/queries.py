@@ -221,9 +221,11 @@ def _(spark, sf):
 
 
 @query("occurrence_join", sql(f"""SELECT {whole('showid', 'venueid', prefix='o.')}, CAST(songid AS BIGINT) AS songid,
-  showdate, CAST(isjamchart AS BIGINT) AS isjamchart FROM elig o JOIN sets s ON o.showid = s.showid"""))
+  showdate, CAST(isjamchart AS BIGINT) AS isjamchart FROM elig o JOIN (
+    SELECT l_orderkey AS showid, songid, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS isjamchart
+    FROM lineitem JOIN brands ON l_partkey = p_partkey) s ON o.showid = s.showid"""))
 def _(spark, sf):
-    rows = shows_(spark, sf).select("showid", "showdate", "venueid").join(R.setlists(spark, sf), "showid")
+    rows = shows_(spark, sf).select("showid", "showdate", "venueid").join(R.all_setlists(spark, sf), "showid")
     return tidy(rows, "showid", "venueid", "songid", "showdate", "isjamchart")
 
 

@@ -73,13 +73,19 @@ def song_of(brand: str = "p_brand"):
 
 
 def setlists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the shows that have been played."""
     played = table(spark, sf_dir, "orders").where(
         F.col("o_orderdate").cast("date") <= F.lit(LAST_SETLIST).cast("date")
     )
+    rows = all_setlists(spark, sf_dir)
+    return rows.join(played.select(F.col("o_orderkey").alias("showid")), "showid", "left_semi")
+
+
+def all_setlists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item as a setlist row, whatever its day."""
     return (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(played.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
         .select(
             F.col("l_orderkey").alias("showid"),
             song_of().alias("songid"),
