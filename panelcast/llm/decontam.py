@@ -337,6 +337,8 @@ def _search(held, params: LatentParams):
 def without_leaks(docs: DataFrame, found: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``leaks`` names; all columns stay."""
     # stored: with its size known, Spark broadcasts it if small and does not shuffle the documents
-    rows = cut_lineage(found.select(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash")).distinct())
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    return docs.join(rows, same, "left_anti")
+    rows = cut_lineage(found.select(F.col("doc_id").alias("held_id"), F.col("hash").alias("held_hash")).distinct())
+    # whole rows travel as one struct, so no column of theirs can clash
+    own = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    same = F.col("doc").eqNullSafe(F.col("held_id")) & (F.col("hash") == F.col("held_hash"))
+    return own.join(rows, same, "left_anti").select("row.*")

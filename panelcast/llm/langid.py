@@ -210,7 +210,7 @@ def identify(docs: DataFrame, model: LanguageCode, rows: bool = False) -> DataFr
                     ["doc_id", "lang_pred", "score", "ambiguous", *batch.schema.names[2:]],
                 )
 
-    own = docs.select(F.col("doc_id").cast("long"), "text", *([F.struct(*docs.columns).alias("row")] if rows else []))
+    own = docs.select(F.col("doc_id").cast("long"), "text", *([F.struct("*").alias("row")] if rows else []))
     made = "doc_id long, lang_pred string, score double, ambiguous boolean"
     schema = StructType([*StructType.fromDDL(made), *own.schema[2:]])
     return own.mapInArrow(run, schema)

@@ -94,21 +94,24 @@ def preferences(pairs: DataFrame, chat: ChatFormat = ChatFormat()) -> DataFrame:
     """
     none = F.expr("cast(array() as array<struct<role:string,text:string>>)")
     ours = ("prompt_turns", "prompt", "chosen", "chosen_spans", "rejected", "rejected_spans", "differ")
-    kept = [c for c in pairs.columns if c not in ours]
-    both = pairs.select(*kept, F.coalesce("chosen", none).alias("_a"), F.coalesce("rejected", none).alias("_b"))
-    both = both.withColumn("prompt_turns", common_turns(F.col("_a"), F.col("_b")))
+    kept = [F.col(f"`{c}`") for c in pairs.columns if c.lower() not in ours]
+    # the other columns travel as one struct, so none of theirs can clash
+    own, back = ([F.struct(*kept).alias("kept")], ["kept.*"]) if kept else ([], [])
+    both = pairs.select(*own, F.coalesce("chosen", none).alias("a"), F.coalesce("rejected", none).alias("b"))
+    both = both.withColumn("prompt_turns", common_turns(F.col("a"), F.col("b")))
 
     def rest(c: str) -> Column:
         return F.slice(c, F.col("prompt_turns") + 1, F.size(c))
 
-    split = both.select(*kept, "prompt_turns", F.slice("_a", F.lit(1), F.col("prompt_turns")).alias("_p"), rest("_a").alias("_a"), rest("_b").alias("_b"))
+    names = ["kept"] if kept else []
+    split = both.select(*names, "prompt_turns", F.slice("a", F.lit(1), F.col("prompt_turns")).alias("p"), rest("a").alias("a"), rest("b").alias("b"))
     return split.select(
-        *kept,
+        *back,
         "prompt_turns",
-        rendered(F.col("_p"), chat).alias("prompt"),
-        rendered(F.col("_a"), chat).alias("chosen"),
-        trained_spans(F.col("_a"), chat).alias("chosen_spans"),
-        rendered(F.col("_b"), chat).alias("rejected"),
-        trained_spans(F.col("_b"), chat).alias("rejected_spans"),
-        ((F.size("_a") > 0) | (F.size("_b") > 0)).alias("differ"),
+        rendered(F.col("p"), chat).alias("prompt"),
+        rendered(F.col("a"), chat).alias("chosen"),
+        trained_spans(F.col("a"), chat).alias("chosen_spans"),
+        rendered(F.col("b"), chat).alias("rejected"),
+        trained_spans(F.col("b"), chat).alias("rejected_spans"),
+        ((F.size("a") > 0) | (F.size("b") > 0)).alias("differ"),
     )

@@ -192,13 +192,22 @@ def redacted(docs: DataFrame, findings: DataFrame) -> DataFrame:
     # stored: with its size known, Spark broadcasts it if small and does not shuffle the documents
     secrets = cut_lineage(
         findings.where("is_secret = 1")
-        .groupBy(F.col("doc_id").alias("_doc"), F.col("hash").alias("_hash"))
-        .agg(F.sort_array(F.collect_set(F.struct((-F.length("value")).alias("k"), "value"))).alias("_secrets"))
+        .groupBy(F.col("doc_id").alias("held_id"), F.col("hash").alias("held_hash"))
+        .agg(F.sort_array(F.collect_set(F.struct((-F.length("value")).alias("k"), "value"))).alias("held"))
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    masked = F.aggregate("_secrets", F.col("text"), lambda t, s: F.replace(t, s["value"], F.lit(MASK)))
-    out = docs.join(secrets, same, "left").withColumn("text", F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(masked))
-    if "n_chars" in docs.columns:
-        counted = F.when(F.col("_secrets").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    # whole rows travel as one struct, so no column of theirs can clash
+    own = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    same = F.col("doc").eqNullSafe(F.col("held_id")) & (F.col("hash") == F.col("held_hash"))
+    masked = F.aggregate("held", F.col("row")["text"], lambda t, s: F.replace(t, s["value"], F.lit(MASK)))
+    rows = own.join(secrets, same, "left").select("row", "held", F.when(F.col("held").isNull(), F.col("row")["text"]).otherwise(masked).alias("clean"))
+
+    def column(name: str) -> Column:
+        old = F.col("row").getField(name)
+        if name.lower() == "text":
+            return F.col("clean").alias(name)
+        if name.lower() == "n_chars":
+            counted = F.when(F.col("held").isNull(), old).otherwise(F.length("clean"))
+            return counted.cast(docs.schema[name].dataType).alias(name)
+        return old.alias(name)
+
+    return rows.select(*[column(c) for c in docs.columns])

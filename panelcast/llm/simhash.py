@@ -193,7 +193,9 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     def id_of(column: str) -> Column:
         return F.coalesce(F.col(column).cast("long").cast("string"), F.lit(""))
 
-    keep = first.select(id_of("k.doc_id").alias("_doc"), F.col("k.hash").alias("_hash"), F.col("k.n").alias("_n"))
-    rows = docs.withColumns({"_doc": id_of("doc_id"), "_hash": F.xxhash64("text")}).join(keep, ["_doc", "_hash"])
-    out = rows.where("_n = 1").unionByName(rows.where("_n > 1").dropDuplicates(["_doc", "_hash"]))
-    return out.select(*docs.columns)
+    keep = first.select(id_of("k.doc_id").alias("doc"), F.col("k.hash").alias("hash"), F.col("k.n").alias("n"))
+    # whole rows travel as one struct, so no column of theirs can clash
+    own = docs.select(id_of("doc_id").alias("doc"), F.xxhash64("text").alias("hash"), F.struct("*").alias("row"))
+    rows = own.join(keep, ["doc", "hash"])
+    out = rows.where("n = 1").unionByName(rows.where("n > 1").dropDuplicates(["doc", "hash"]))
+    return out.select("row.*")
