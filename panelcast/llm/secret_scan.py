@@ -18,10 +18,11 @@ from panelcast.runtime import cut_lineage
 
 # a long run of key characters with a digit in it or an issuer's mark, or whatever is assigned to a telling name
 RUN = r"(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}+={0,2}"
-NAMED = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ \t]*[:=][ \t]*[\"']?([A-Za-z0-9+/_.~!@#$%^&*=-]{8,})"
+NAMED = r"((?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)[\"']?[ \t]*[:=][ \t]*[\"']?)([A-Za-z0-9+/_.~!@#$%^&*=-]{8,})"
 NAME_BEFORE = r"(?i)(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|bearer|credential)"
 ISSUED = "^(?:AKIA|ASIA|gh[pousr]_|xox[abp]-|AIza)"
 MASK = "[SECRET]"
+CUT, NOT_CUT = "\x01", "\x02"  # no value holds either
 
 FEATURES = (
     "length", "digits", "uppers", "lowers", "letter_digit", "case_changes", "marks", "distinct", "hex",
@@ -44,27 +45,48 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("hash"), "text")
 
 
+def places(text: Column, pattern: str, replacement: str) -> Column:
+    """(value, start) of every match, in order, from texts without CUT; start counts from 1.
+
+    ``replacement`` puts CUT around a value, so that every other part of the text is one. A fold adds
+    up the parts' lengths.
+    """
+    parts = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(replacement)), CUT, -1)
+    none = F.expr("cast(array() as array<struct<value:string,start:bigint>>)")
+    empty = F.struct(F.lit(1).cast("long").alias("at"), F.lit(False).alias("is_value"), none.alias("found"))
+
+    def step(acc: Column, part: Column) -> Column:
+        value = F.array(F.struct(part.alias("value"), acc["at"].alias("start")))
+        found = F.when(acc["is_value"], F.concat(acc["found"], value)).otherwise(acc["found"])
+        return F.struct((acc["at"] + F.length(part)).alias("at"), (~acc["is_value"]).alias("is_value"), found.alias("found"))
+
+    return F.aggregate(parts, empty, step, lambda acc: acc["found"])
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, hash, value, start, before, after): every distinct candidate of each ``keyed`` row.
+    """(doc_id, hash, value, start, before, after): the candidates of each ``keyed`` row, one per place.
 
-    ``start`` is the first occurrence, from 1; ``before`` and ``after`` are 48 characters around it.
+    ``start`` counts from 1; ``before`` and ``after`` are 48 characters around the value. A value that
+    stands in several places is a candidate in each; what both patterns find in one place is one.
     """
     text = F.col("text")
-    runs = F.filter(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), lambda v: v.rlike(f"[0-9]|{ISSUED}"))
-    named = F.regexp_extract_all(text, F.lit(NAMED), F.lit(1))
+    bare = F.replace(text, F.lit(CUT), F.lit(NOT_CUT))
+    runs = F.filter(places(bare, RUN, f"{CUT}$0{CUT}"), lambda f: f["value"].rlike(f"[0-9]|{ISSUED}"))
+    named = places(bare, NAMED, f"$1{CUT}$2{CUT}")
 
-    def found(v: Column) -> Column:
-        at = F.position(v, text)
-        begin = F.greatest(at - 48, F.lit(1))
+    def around(f: Column) -> Column:
+        begin = F.greatest(f["start"] - 48, F.lit(1)).cast("int")
+        at, size = f["start"].cast("int"), F.length(f["value"])
         return F.struct(
-            v.alias("value"),
-            at.cast("long").alias("start"),
+            f["value"].alias("value"),
+            f["start"].alias("start"),
             F.substr(text, begin, at - begin).alias("before"),
-            F.substr(text, at + F.length(v), F.lit(48)).alias("after"),
+            F.substr(text, at + size, F.lit(48)).alias("after"),
         )
 
-    values = docs.select("doc_id", "hash", F.transform(F.array_distinct(F.concat(runs, named)), found).alias("found"))
-    return values.where(F.size("found") > 0).select("doc_id", "hash", F.explode("found").alias("f")).select("doc_id", "hash", "f.*")
+    found = F.transform(F.array_distinct(F.concat(runs, named)), around)
+    # outer, so that no filter repeats the patterns ahead of it
+    return docs.select("doc_id", "hash", F.explode_outer(found).alias("f")).where("f IS NOT NULL").select("doc_id", "hash", "f.*")
 
 
 def dictionary(docs: DataFrame, least: int) -> DataFrame:
@@ -117,8 +139,7 @@ def features(found: DataFrame, words: DataFrame) -> DataFrame:
 def weak_labels(found: DataFrame) -> DataFrame:
     """``found`` with ``label`` where a strict rule is sure, else null.
 
-    1: a cloud access key id, a token of a known issuer, a private key's or signed token's start, or
-    mixed letters and digits assigned to a telling name. 0: host and file names, plain numbers, and
+    1: a cloud access key id, a token of a known issuer, a signed token's start, or mixed letters and digits assigned to a telling name. 0: host and file names, plain numbers, and
     values that the text calls an example.
     """
     v, before, after = F.col("value"), F.col("before"), F.col("after")
@@ -145,9 +166,9 @@ class Forest:
 
 
 def fit(labelled: DataFrame, params: ForestParams = ForestParams()) -> Forest:
-    """Train on about ``sample_rows`` rows (value, FEATURES, label) with a label, half of each class.
+    """Train on about ``sample_rows`` rows (doc_id, value, start, FEATURES, label) with a label, half of each class.
 
-    Rows are chosen by a hash of value and doc_id. With one class only, that class is the answer for
+    Rows are chosen by a hash of value, doc_id and start. With one class only, that class is the answer for
     all; with no labels at all, nothing is a secret.
     """
     rows = labelled.where("label IS NOT NULL")
@@ -156,7 +177,7 @@ def fit(labelled: DataFrame, params: ForestParams = ForestParams()) -> Forest:
         return Forest(constant=max(sizes, default=0.0))
     each = params.sample_rows / 2
     share = F.when(F.col("label") == 1, min(1.0, each / sizes[1.0])).otherwise(min(1.0, each / sizes[0.0]))
-    sample = rows.where(F.pmod(F.xxhash64("value", "doc_id", F.lit(params.seed)), F.lit(1 << 30)) < share * (1 << 30))
+    sample = rows.where(F.pmod(F.xxhash64("value", "doc_id", "start", F.lit(params.seed)), F.lit(1 << 30)) < share * (1 << 30))
     held = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample.select(*FEATURES, "label"))
     # one partition: a bounded sample, and rows in a fixed order give the same trees again
     held = held.repartitionByRange(1, *FEATURES, "label").sortWithinPartitions(*FEATURES, "label").select("features", "label")
@@ -165,11 +186,11 @@ def fit(labelled: DataFrame, params: ForestParams = ForestParams()) -> Forest:
 
 
 def scan(docs: DataFrame, params: ForestParams = ForestParams(), labelled: DataFrame | None = None) -> DataFrame:
-    """(doc_id, hash, value, start, probability, is_secret): one row for each candidate of a document.
+    """(doc_id, hash, value, start, probability, is_secret): one row for each place of a candidate.
 
     ``labelled``: rows (doc_id, value, label) of reviewed findings; where none are given, the sure
-    ones of ``weak_labels`` train the forest. A value is judged once per document, where it stands
-    first. Null and empty texts have no candidates. Rows with the same doc_id and text, or without
+    ones of ``weak_labels`` train the forest. A value is judged in each of its places; a reviewed
+    finding holds for all places of its value in the document. Null and empty texts have no candidates. Rows with the same doc_id and text, or without
     doc_id and with the same text, give the same rows each.
     """
     own = keyed(docs)
@@ -187,6 +208,8 @@ def scan(docs: DataFrame, params: ForestParams = ForestParams(), labelled: DataF
 def redacted(docs: DataFrame, findings: DataFrame) -> DataFrame:
     """``docs`` with every occurrence of its secrets masked; other rows and columns stay.
 
+    A value is masked throughout a document if it is judged a secret in any of its places.
+
     ``n_chars``, if there is one, is counted anew where something was masked.
     """
     # stored: with its size known, Spark broadcasts it if small and does not shuffle the documents
