@@ -3,7 +3,8 @@
 Passages of the benchmark, weighted by TF-IDF with document frequencies of all documents, are cut
 into blocks. Each block gets a latent space of its own from a randomised SVD, so that the rank keeps
 up with a growing benchmark. Windows of the documents are folded in and compared by cosine;
-candidates are checked by longest common subsequence and by the item's last words.
+candidates are checked by longest common subsequence and by the item's last words. Items of a few
+words, too short for that, are looked up whole.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelcast.llm.words import slices, utf8, word_bounds, word_hashes
+from panelcast.llm.words import mix, slices, utf8, word_bounds, word_hashes
 from panelcast.runtime import cut_lineage
 
 # letters, digits and bytes of other characters make words; A-Z are lower-cased
@@ -29,7 +30,8 @@ _FOLD[128:] = np.arange(128, 256)
 class LatentParams:
     windows: tuple[int, ...] = (16, 32)  # words of a passage: of short items, of others
     short: int = 24  # items with fewer words are short
-    least_words: int = 8  # items with fewer words say too little and are not searched
+    exact: int = 8  # items with fewer words say too little for a cosine: all their words must follow each other
+    exact_block: int = 1 << 14  # such items that are searched together
     buckets: int = 1 << 16  # document frequencies are kept per hash bucket
     block: int = 512  # passages that share a latent space
     rank: int = 384
@@ -84,32 +86,40 @@ def document_frequencies(docs: DataFrame, buckets: int) -> tuple[int, np.ndarray
 
 
 def passages(items: DataFrame, params: LatentParams) -> DataFrame:
-    """(item_id, words, first, last, wide): windows of the words of each item, as hashes.
+    """(key, item_id, part, kind, words, whole): windows of the words of each item, as hashes.
 
-    Windows of an item are a quarter of a window apart, those of a document half a window, or a
-    quarter if short, so that they meet at most an eighth of a window out of step.
+    Items are told apart by id and text (``key``), so null and repeated ids are items too; equal rows
+    are one. Windows of an item are a quarter of a window apart, those of a document half a window,
+    or a quarter if short, so that they meet at most an eighth of a window out of step. The first
+    window carries the words of the whole item. Items of fewer than ``exact`` words have one window
+    and the kind EXACT; items without words have none.
     """
 
     def run(batches):
         for batch in batches:
             rows = []
-            hashes, before = hashed(*folded(batch.column(1)))
-            for i, item in enumerate(batch.column(0).to_pylist()):
+            hashes, before = hashed(*folded(batch.column(2)))
+            for i, (key, item) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 words = hashes[before[i] : before[i + 1]].view(np.int64)
-                if item is None or len(words) < params.least_words:
+                if not len(words):
                     continue
-                wide = len(words) >= params.short
-                window = params.windows[wide]
+                kind = EXACT if len(words) < params.exact else int(len(words) >= params.short)
+                window = len(words) if kind == EXACT else params.windows[kind]
                 last = max(len(words) - window, 0)
-                for s in sorted({*range(0, last, window // 4), last}):
-                    rows.append({"item_id": item, "words": words, "first": s, "last": min(s + window, len(words)), "wide": int(wide)})
+                for n, s in enumerate(sorted({*range(0, last, max(window // 4, 1)), last})):
+                    part = words[s : s + window]
+                    rows.append({"key": key, "item_id": item, "part": n, "kind": kind, "words": part, "whole": None if n else words})
             yield pa.RecordBatch.from_pylist(rows, _PASSAGE)
 
-    return items.select(F.col("item_id").cast("long"), "text").mapInArrow(run, _PASSAGE_SQL)
+    told = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
+    return told.select(F.xxhash64("item_id", "text").alias("key"), "item_id", "text").mapInArrow(run, _PASSAGE_SQL)
 
 
-_PASSAGE_SQL = "item_id long, words array<long>, first int, last int, wide int"
-_PASSAGE = pa.schema([("item_id", pa.int64()), ("words", pa.list_(pa.int64())), *((c, pa.int32()) for c in ("first", "last", "wide"))])
+EXACT = 2  # kind of the shortest items; the kinds 0 and 1 number ``windows``
+_PASSAGE_SQL = "key long, item_id long, part int, kind int, words array<long>, whole array<long>"
+_PASSAGE = pa.schema(
+    [("key", pa.int64()), ("item_id", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("words", pa.list_(pa.int64())), ("whole", pa.list_(pa.int64()))]
+)
 
 
 def randomised_svd(a: np.ndarray, rank: int, seed: int) -> np.ndarray:
@@ -136,58 +146,110 @@ def latent_blocks(items: DataFrame, idf: np.ndarray, params: LatentParams) -> Da
     """The latent space of each block of passages as arrays (block, name, shape, data), one task per block.
 
     Items are spread by hash over enough blocks that each has about ``block`` passages, however many
-    items there are.
+    items there are; all passages of an item are in one block. Blocks of EXACT items have no space.
     """
-    rows = passages(items, params)
-    blocks = max(1, -(-rows.count() // params.block))
+    rows = cut_lineage(passages(items, params))
+    sizes = {r["exact"]: r["n"] for r in rows.groupBy((F.col("kind") == EXACT).alias("exact")).agg(F.count("*").alias("n")).collect()}
+    latent, exact = (max(1, -(-sizes.get(k, 0) // n)) for k, n in ((False, params.block), (True, params.exact_block)))
 
     def run(held: pd.DataFrame) -> pd.DataFrame:
-        held = held.sort_values(["item_id", "first"], kind="stable")
-        texts = [np.asarray(w, np.int64) for w in held["words"]]
-        words = [w.view(np.uint64)[f:e] for w, f, e in zip(texts, held["first"], held["last"])]
-        vocabulary = np.unique(np.concatenate(words))
-        a = np.zeros((len(words), len(vocabulary)), np.float32)
-        for i, w in enumerate(words):
-            at, weight = weighted(w, idf, vocabulary)
-            a[i, at] = weight
-        v = randomised_svd(a, params.rank, params.seed).astype(np.float32)
-        latent = a @ v
-        size = np.linalg.norm(latent, axis=1)
+        held = held.sort_values(["key", "part"], kind="stable")
+        firsts = held[held["part"] == 0]
+        texts = [np.asarray(w, np.int64) for w in firsts["whole"]]
         parts = {
-            "vocabulary": vocabulary,
-            "v": v,
-            "latent": latent / np.maximum(size, 1e-9)[:, None],
-            "own": (size / np.maximum(np.linalg.norm(a, axis=1), 1e-9)).astype(np.float32),
-            "item": held["item_id"].to_numpy(np.int64),
+            "keys": firsts["key"].to_numpy(np.int64),
+            "ids": np.array([int(k or 0) for k in firsts["item_id"]], np.int64),
+            "named": firsts["item_id"].notna().to_numpy(np.int64),
             "texts": np.concatenate(texts),
             "lengths": np.array([len(t) for t in texts], np.int64),
-            "window": np.array([params.windows[held["wide"].iloc[0]]], np.int64),
         }
+        if held["kind"].iloc[0] != EXACT:
+            words = [np.asarray(w, np.int64).view(np.uint64) for w in held["words"]]
+            vocabulary = np.unique(np.concatenate(words))
+            a = np.zeros((len(words), len(vocabulary)), np.float32)
+            for i, w in enumerate(words):
+                at, weight = weighted(w, idf, vocabulary)
+                a[i, at] = weight
+            v = randomised_svd(a, params.rank, params.seed).astype(np.float32)
+            latent = a @ v
+            size = np.linalg.norm(latent, axis=1)
+            parts |= {
+                "vocabulary": vocabulary,
+                "v": v,
+                "latent": latent / np.maximum(size, 1e-9)[:, None],
+                "own": (size / np.maximum(np.linalg.norm(a, axis=1), 1e-9)).astype(np.float32),
+                "item": held["key"].to_numpy(np.int64),
+                "window": np.array([params.windows[held["kind"].iloc[0]]], np.int64),
+            }
         out = pd.DataFrame({"name": list(parts)})
         out["shape"] = [list(x.shape) for x in parts.values()]
         out["data"] = [x.tobytes() for x in parts.values()]
         return out.assign(block=held["block"].iloc[0])[["block", "name", "shape", "data"]]
 
-    spread = rows.withColumn("block", F.pmod(F.xxhash64("item_id"), F.lit(blocks)) * 2 + F.col("wide"))
+    number = F.pmod(F.xxhash64("key"), F.when(F.col("kind") == EXACT, exact).otherwise(latent))
+    spread = rows.withColumn("block", number * 3 + F.col("kind"))
+    # ids as objects: null must not turn the others into doubles
+    spread = spread.withColumn("item_id", F.col("item_id").cast("string"))
     return spread.groupBy("block").applyInPandas(run, "block long, name string, shape array<long>, data binary")
 
 
 _ROUNDING = 0.999  # slack of the bounds
-_KINDS = {"vocabulary": np.uint64, "item": np.int64, "texts": np.int64, "lengths": np.int64, "window": np.int64}
+_KINDS = {"vocabulary": np.uint64, **dict.fromkeys(("item", "keys", "ids", "named", "texts", "lengths", "window"), np.int64)}
 
 
 def collected(blocks: DataFrame) -> list[dict]:
-    """The arrays of a few blocks."""
+    """The arrays of a few blocks, with the words and ids of their items by key."""
     out: dict[int, dict] = {}
     for r in blocks.collect():
         array = np.frombuffer(r["data"], _KINDS.get(r["name"], np.float32)).reshape(r["shape"])
         out.setdefault(r["block"], {})[r["name"]] = array
     for b in out.values():
-        b["window"] = int(b["window"][0])
-        b["texts"] = dict(zip(b["item"].tolist(), np.split(b["texts"], np.cumsum(b["lengths"])[:-1])))
+        keys = b["keys"].tolist()
+        b["ids"] = {k: i if named else None for k, i, named in zip(keys, b["ids"].tolist(), b["named"].tolist())}
+        b["texts"] = dict(zip(keys, np.split(b["texts"], np.cumsum(b["lengths"])[:-1])))
+        if "window" in b:
+            b["window"] = int(b["window"][0])
+        else:
+            b["sequences"] = sequences(b["texts"])
     return [out[k] for k in sorted(out)]
 
 
+def sequence_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of the n words from each place on."""
+    h = np.zeros(max(len(words) - n + 1, 0), np.uint64)
+    for k in range(n):
+        h = mix(h + words[k : k + len(h)])
+    return h
+
+
+def sequences(texts: dict[int, np.ndarray]) -> dict[int, tuple[np.ndarray, dict[tuple, list[int]]]]:
+    """By number of words: sorted hashes of the items' words, and the keys of the items with given words."""
+    held: dict[int, dict[tuple, list[int]]] = {}
+    for key, words in texts.items():
+        held.setdefault(len(words), {}).setdefault(tuple(words.tolist()), []).append(key)
+    return {
+        n: (np.unique([sequence_hashes(np.array(w, np.int64).view(np.uint64), n)[0] for w in items]), items)
+        for n, items in held.items()
+    }
+
+
+def whole_items(words: np.ndarray, before: np.ndarray, block: dict):
+    """(text, key) of the items of an EXACT block whose words all follow each other in a text, once each."""
+    for n, (hashes, items) in block["sequences"].items():
+        h = sequence_hashes(words, n)
+        at = np.flatnonzero(hashes[np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)] == h)
+        text = np.searchsorted(before, at, side="right") - 1
+        inside = at + n <= before[text + 1]
+        at, text = at[inside], text[inside]
+        if not len(at):
+            continue
+        # once per text and sequence
+        _, once = np.unique(np.rec.fromarrays([text, h[at]]), return_index=True)
+        for t, a in zip(text[once].tolist(), at[once].tolist()):
+            for key in items.get(tuple(words[a : a + n].view(np.int64).tolist()), ()):
+                yield t, key
+
+
 def best_parts(block: dict, params: LatentParams, few: int = 8) -> np.ndarray:
     """What a unit of each word adds to a cosine over its least value, at best for each ``few`` passages.
 
@@ -273,8 +335,10 @@ def leaks(docs: DataFrame, items: DataFrame, params: LatentParams = LatentParams
     ``docs``: (doc_id, text, …), ``items``: (item_id, text, …); hash is that of the text. ``overlap``
     and ``answer`` are the shares of the item's words, and of its last words, that the document has
     in order near the candidate window. An item counts if ``overlap`` reaches ``verbatim``, or
-    ``overlap`` and ``answer`` reach their bounds. Null and empty texts hold nothing; items without
-    id or with fewer than ``least_words`` words are not searched. Repeated rows give their rows each.
+    ``overlap`` and ``answer`` reach their bounds. An item of fewer than ``exact`` words counts if all
+    its words follow each other in the text, be it a single word; an item without words never does.
+    Items without id are searched too (item_id null); texts under the same id are items each, equal
+    rows one. Null and empty texts hold nothing. Repeated rows of ``docs`` give their rows each.
     """
     own = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("hash"), "text").where("text IS NOT NULL")
     total, frequency = document_frequencies(own, params.buckets)
@@ -287,7 +351,8 @@ def leaks(docs: DataFrame, items: DataFrame, params: LatentParams = LatentParams
     for first in range(0, len(numbers), params.rounds):
         some = collected(spaces.where(F.col("block").isin(numbers[first : first + params.rounds])))
         for block in some:
-            block["best"] = best_parts(block, params)
+            if "window" in block:
+                block["best"] = best_parts(block, params)
         held = context.broadcast((idf, some))
         found = own.mapInArrow(_search(held, params), schema)
         if len(numbers) <= params.rounds:
@@ -307,6 +372,9 @@ def _search(held, params: LatentParams):
             for low, high in slices(at):
                 words, before = hashed(data[at[low] : at[high]], at[low : high + 1] - at[low])
                 for block in blocks:
+                    if "window" not in block:
+                        rows += [(low + text, block["ids"][key], 1.0, 1.0, 1.0) for text, key in whole_items(words, before, block)]
+                        continue
                     best: dict[tuple[int, int], tuple] = {}
                     for text, begin, passage, cosine in candidates(words, before, idf, block, params):
                         item = int(block["item"][passage])
@@ -322,7 +390,7 @@ def _search(held, params: LatentParams):
                         if overlap >= params.verbatim or answer >= params.answer:
                             best[text, item] = max(best.get((text, item), (0.0,)), (overlap, answer, cosine))
                     for (text, item), (overlap, answer, cosine) in best.items():
-                        rows.append((low + text, item, cosine, overlap, answer))
+                        rows.append((low + text, block["ids"][item], cosine, overlap, answer))
             if rows:
                 text, *rest = zip(*rows)
                 at_rows = pa.array(text)

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -60,13 +61,33 @@ def test_odd_rows(spark, corpus):
     rows = [(1, None), (2, ""), (3, "### \n"), (None, leak), (4, leak), (4, leak), (4, "other"), (5, "b " * 300_000 + leak)]
     bench = [(5, leak), (None, leak), (6, None), (7, ""), (8, "too short an item"), (9, leak)]
     docs, out = found(spark, rows, bench)
-    got = sorted((str(r.doc_id), r.item_id) for r in out.collect())
-    assert got == sorted([(i, k) for i in ("None", "4", "4", "5") for k in (5, 9)])
+    got = sorted((str(r.doc_id), str(r.item_id)) for r in out.collect())
+    assert got == sorted([(i, k) for i in ("None", "4", "4", "5") for k in ("5", "9", "None")])
     kept = d.without_leaks(docs, out).collect()
     assert sorted(str(r.text)[:5] for r in kept) == sorted(["None", "", "### \n", "other"])
     assert kept[0].__fields__ == docs.columns
 
 
+@pytest.mark.parametrize("params", [LatentParams(), LatentParams(exact_block=4, rounds=2)])
+def test_items_of_a_few_words_are_found_whole(spark, params):
+    few = random.Random(9)
+    draw = lambda n: " ".join(few.choices("abcde", k=n))
+    bench = [(None if i % 9 == 0 else i // 2, draw(1 + i % 7)) for i in range(60)] + [(1, "a"), (1, "a"), (70, "A, b! c? d")]
+    rows = [(i, draw(few.randint(0, 30))) for i in range(80)] + [(90, "c d"), (91, "e"), (92, "x a. B--c D y"), (93, "ab cd")]
+    _, out = found(spark, rows, bench, params)
+    fold = lambda t: f" {' '.join(re.findall('[a-z]+', t.lower()))} "
+    want = sorted((i, str(k)) for i, t in rows for k, item in set(bench) if fold(item) in fold(t))
+    assert sorted((r.doc_id, str(r.item_id)) for r in out.collect()) == want and len(want) > 500
+
+
+def test_texts_under_one_id_are_items_each_and_a_long_item_is_found(spark):
+    a, b, giant = words(20), words(40), words(2000)
+    bench = [(7, " ".join(a)), (7, " ".join(b)), (8, " ".join(giant))]
+    rows = [(1, " ".join(words(30) + a + words(30))), (2, " ".join(b)), (3, " ".join(words(90))), (4, " ".join(words(9) + giant))]
+    _, out = found(spark, rows, bench)
+    assert sorted((r.doc_id, r.item_id) for r in out.collect()) == [(1, 7), (2, 7), (4, 8)]
+
+
 def test_empty_tables(spark, corpus):
     assert found(spark, [], [(1, " ".join(corpus[0][5]))])[1].collect() == []
     assert found(spark, [(1, "some text")], [])[1].collect() == []
