@@ -27,7 +27,7 @@ _STEP = np.uint64(0xD6E8FEB86659FD93)
 @dataclass(frozen=True)
 class SubwordParams:
     rows_per_class: int = 2500  # about as many labelled rows of each class train the model
-    most_chars: int = 20_000  # longer texts are not trained on; all are scored whole
+    chars_per_class: int = 8_000_000  # and about as many characters, in texts of any length
     least_texts: int = 2  # words of fewer training texts get no gradient
     buckets: int = 1 << 16
     shortest: int = 3
@@ -128,22 +128,25 @@ def train(column: pa.Array, labels: np.ndarray, params: SubwordParams = SubwordP
 def fit(docs: DataFrame, labels: DataFrame, params: SubwordParams = SubwordParams()) -> Subwords:
     """Train on a bounded sample of ``docs`` (doc_id, text, …) with ``labels`` (doc_id, toxic, …).
 
-    About ``rows_per_class`` rows of each class are chosen by a hash of doc_id; only their ids meet
+    About ``rows_per_class`` rows of each class, or fewer if these would have more characters than
+    ``chars_per_class``, are chosen by a hash of doc_id, whatever their lengths; only their ids meet
     the texts. Rows without text, label or doc_id do not count, nor do labels other than 0 and 1, and
     an id labelled twice counts as toxic. Without rows of both classes every score is the share of
     class 1, or 0.5 if there are none at all.
     """
-    short = docs.where("text IS NOT NULL AND doc_id IS NOT NULL").where(F.length("text") <= params.most_chars)
+    own = docs.where("text IS NOT NULL AND doc_id IS NOT NULL")
     marks = labels.where("toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    marked = marks.join(short.select("doc_id").distinct(), "doc_id")
-    sizes = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
-        bias = {(): 0.0, (0,): -30.0, (1,): 30.0}[tuple(sizes)]
+    lengths = own.groupBy("doc_id").agg(F.sum(F.length("text")).alias("chars"))
+    marked = marks.join(lengths, "doc_id")
+    counts = marked.groupBy("toxic").agg(F.count("*").alias("n"), F.sum("chars").alias("chars")).collect()
+    if len(counts) < 2:
+        bias = {(): 0.0, (0,): -30.0, (1,): 30.0}[tuple(r["toxic"] for r in counts)]
         return Subwords(np.zeros(params.buckets, np.float32), bias, params)
-    share = F.when(F.col("toxic") == 1, min(1.0, params.rows_per_class / sizes[1])).otherwise(min(1.0, params.rows_per_class / sizes[0]))
+    shares = {r["toxic"]: min(1.0, params.rows_per_class / r["n"], params.chars_per_class / max(r["chars"], 1)) for r in counts}
+    share = F.when(F.col("toxic") == 1, shares[1]).otherwise(shares[0])
     drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(params.seed)), F.lit(1 << 30)) < share * (1 << 30)
     # at most some thousand ids, whatever the input
-    sample = short.select("doc_id", "text").join(F.broadcast(marked.where(drawn)), "doc_id").toArrow()
+    sample = own.select("doc_id", "text").join(F.broadcast(marked.where(drawn).select("doc_id", "toxic")), "doc_id").toArrow()
     sample = sample.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     return train(sample["text"].combine_chunks(), sample["toxic"].to_numpy().astype(int), params)
 

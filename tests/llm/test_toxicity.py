@@ -75,3 +75,17 @@ def test_one_class_or_none(spark):
         data = [r for r in rows(3, 30) if r[2] in labels]
         model = fitted(spark, data)
         assert scored(spark, [(1, "x", 0, 0.5, "x")], model)[1] == pytest.approx(score)
+
+
+def test_texts_of_all_lengths_train_within_the_bound(spark, monkeypatch):
+    """Long texts are drawn like others; with a bound on characters the same share of every length is."""
+    drawn = []
+    monkeypatch.setattr(toxicity, "train", lambda texts, marks, params: drawn.append((texts.to_pylist(), marks.tolist())))
+    rows = [(i, "long " * 6000 if i % 4 == 0 else "short") for i in range(800)] + [(None, "x"), (900, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i // 4 % 2) for i in range(800)] + [(900, 1)], "doc_id long, toxic int")
+    toxicity.fit(docs, labels)
+    toxicity.fit(docs, labels, toxicity.SubwordParams(chars_per_class=1_500_000))
+    (every, marks), (some, _) = drawn
+    assert len(every) == 800 and sum(marks) == 400 and sum(len(t) > 20_000 for t in every) == 200
+    assert 320 < len(some) < 480 and 0.15 < sum(len(t) > 20_000 for t in some) / len(some) < 0.35
