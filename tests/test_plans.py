@@ -41,3 +41,8 @@ def agrees(spark, tables, name):
 
 def test_analytical_set_runs(spark, tables):
     agrees(spark, tables, "analytical_set")
+
+
+def test_left_join_composite_joins_all_plays_with_the_flagged_ones(spark, tables):
+    got = agrees(spark, tables, "left_join_composite")
+    assert set(got.columns) == {"showid", "songid", "jammed"} and set(got["jammed"]) == {0, 1}
