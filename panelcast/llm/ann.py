@@ -20,7 +20,7 @@ class TreeParams:
     branch: int = 8
     leaf_rows: int = 64  # of the sample
     rounds: int = 8
-    block_rows: int = 4096  # a leaf's vectors are cut into blocks of about this many
+    block_rows: int = 4096  # leaves are searched in groups of about this many vectors, larger ones in blocks of as many
     k: int = 10
     recall: float = 0.95  # on the calibration queries
     calibration: int = 100  # about as many queries are compared with all vectors
@@ -195,36 +195,56 @@ def indexed(vectors: DataFrame, tree: Tree) -> DataFrame:
     return vectors.mapInArrow(run, "leaf long, vec_id long, v array<double>")
 
 
+def grouped(tree: Tree, rows_of: np.ndarray, block_rows: int) -> np.ndarray:
+    """The group of each leaf, -1 for other nodes: leaves that follow each other in the tree are searched
+    together while they have at most ``block_rows`` rows. The order is that of a walk over the tree, so a
+    group's leaves are near each other."""
+    out, group, held, todo = np.full(len(tree.children), -1), 0, 0, [0]
+    while todo:
+        node = todo.pop()
+        todo += reversed(tree.children[node])
+        if not tree.children[node]:
+            if held and held + rows_of[node] > block_rows:
+                group, held = group + 1, 0
+            out[node], held = group, held + int(rows_of[node])
+    return out
+
+
+def asked(queries: DataFrame, tree: Tree, rows_of: np.ndarray, group_of: np.ndarray, blocks: np.ndarray, most: int, least_rows: int, later: bool) -> DataFrame:
+    """(leaf_group, block, query_id, q): each query once for every block of the groups it visits.
+
+    These are the groups of its first visits or, ``later``, of all others up to ``most`` leaves.
+    """
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for i, q in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
+                met = list(dict.fromkeys(group_of[visits(tree, q, most, rows_of, least_rows)].tolist()))
+                near = list(dict.fromkeys(group_of[visits(tree, q, min(most, FIRST), rows_of, least_rows)].tolist()))
+                rows += [(g, b, i, q) for g in (met if later else near) if not later or g not in near for b in range(blocks[g])]
+            if rows:
+                group, block, ids, q = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(group), pa.array(block), pa.array(ids), pa.array(list(q), pa.list_(pa.float64()))],
+                    ["leaf_group", "block", "query_id", "q"],
+                )
+
+    return queries.select("vec_id", "v").mapInArrow(run, "leaf_group long, block long, query_id long, q array<double>")
+
+
 def searched(index: DataFrame, queries: DataFrame, tree: Tree, rows_of: np.ndarray, most: int, params: TreeParams) -> DataFrame:
-    """The k nearest found in the leaves that each query visits.
+    """The k nearest found in the groups of the leaves that each query visits.
 
-    A leaf's vectors are dealt over blocks by their id, and a query goes to every block of its
-    leaves, so neither a common vector nor a common leaf is one task.
+    A group's vectors are dealt over blocks by their id, and a query goes once to every block of its
+    groups, so neither a common vector nor a common leaf is one task.
     """
-    blocks = np.maximum(1, -(-rows_of // params.block_rows))
-
-    def asks(first: int, last: int) -> DataFrame:
-        """The visits from number ``first`` up to ``last`` of every query."""
-
-        def run(batches):
-            for batch in batches:
-                rows = []
-                for i, q in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
-                    for leaf in visits(tree, q, most, rows_of, params.k + 1)[first:last]:
-                        rows += [(leaf, b, i, q) for b in range(blocks[leaf]) if rows_of[leaf]]
-                if rows:
-                    leaf, block, ids, q = zip(*rows)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(leaf), pa.array([int(b) for b in block]), pa.array(ids), pa.array(list(q), pa.list_(pa.float64()))],
-                        ["leaf", "block", "query_id", "q"],
-                    )
-
-        return queries.select("vec_id", "v").mapInArrow(run, "leaf long, block long, query_id long, q array<double>")
-
-    many = [(int(i), int(blocks[i])) for i in np.flatnonzero(blocks > 1)]
-    sizes = index.sparkSession.createDataFrame(many, "leaf long, blocks long")
-    held = index.join(F.broadcast(sizes), "leaf", "left")
-    held = held.withColumn("block", F.coalesce(F.pmod(F.xxhash64("vec_id"), "blocks"), F.lit(0).cast("long")))
+    group_of = grouped(tree, rows_of, params.block_rows)
+    held_by = np.bincount(group_of[tree.leaves], rows_of[tree.leaves]).astype(int)
+    blocks = -(-held_by // params.block_rows)  # none for a group without vectors
+    placed = [(int(i), int(group_of[i]), max(1, int(blocks[group_of[i]]))) for i in tree.leaves]
+    groups = index.sparkSession.createDataFrame(placed, "leaf long, leaf_group long, blocks long")
+    held = index.join(F.broadcast(groups), "leaf").withColumn("block", F.pmod(F.xxhash64("vec_id"), "blocks"))
 
     def compared(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
@@ -233,14 +253,17 @@ def searched(index: DataFrame, queries: DataFrame, tree: Tree, rows_of: np.ndarr
         limit = q.groupby("query_id")["worst"].max()
         return found[found["score"].to_numpy() <= limit.loc[found["query_id"]].to_numpy()]
 
-    def pairs(asked: DataFrame) -> DataFrame:
-        return held.groupBy("leaf", "block").cogroup(asked.groupBy("leaf", "block")).applyInPandas(compared, PAIR)
+    def pairs(asking: DataFrame) -> DataFrame:
+        return held.groupBy("leaf_group", "block").cogroup(asking.groupBy("leaf_group", "block")).applyInPandas(compared, PAIR)
+
+    def asks(later: bool) -> DataFrame:
+        return asked(queries, tree, rows_of, group_of, blocks, most, params.k + 1, later)
 
     # the first visits give a k-th distance, beyond which the others return nothing
-    near = cut_lineage(ranked(pairs(asks(0, FIRST).withColumn("worst", F.lit(float("inf")))), params.k))
+    near = cut_lineage(ranked(pairs(asks(False).withColumn("worst", F.lit(float("inf")))), params.k))
     kth = near.where(F.col("rank") == params.k).select("query_id", F.col("score").alias("kth"))
-    rest = asks(FIRST, len(tree.children)).join(kth, "query_id", "left")
-    rest = rest.select("leaf", "block", "query_id", "q", F.coalesce("kth", F.lit(float("inf"))).alias("worst"))
+    rest = asks(True).join(kth, "query_id", "left")
+    rest = rest.select("leaf_group", "block", "query_id", "q", F.coalesce("kth", F.lit(float("inf"))).alias("worst"))
     return ranked(near.drop("rank").union(pairs(rest)), params.k)
 
 
@@ -248,7 +271,7 @@ def nearest_neighbours(vectors: DataFrame, is_query, params: TreeParams = TreePa
     """(query_id, rank, vec_id, score) for the rows of ``vectors`` (vec_id, embedding, …) where ``is_query``.
 
     Also returned: the leaves visited and the recall measured for them. The tree is fitted on a
-    bounded sample; leaf visits double until the calibration queries, compared with all rows, reach
+    bounded sample, and a visit of a leaf searches the group it is in; leaf visits double until the calibration queries, compared with all rows, reach
     ``recall``, at worst until all leaves are visited. Fewer than k candidates are returned all. A
     vec_id that occurs twice is two candidates, and never its own query's. See ``valid_vectors``.
     """
@@ -269,14 +292,14 @@ def nearest_neighbours(vectors: DataFrame, is_query, params: TreeParams = TreePa
         rows_of[r["leaf"]] = r["count"]
     queries = rows.where(is_query)
     tried = [(r["vec_id"], r["v"]) for r in some(queries, params.calibration, queries.count(), params.seed + 1)]
-    most, recall = 1, 1.0
+    most, recall, group_of = 1, 1.0, grouped(tree, rows_of, params.block_rows)
     if tried:
         want = {(r["query_id"], r["vec_id"]) for r in brute_force(rows, tried, params.k).collect()}
         leaf_of_id = {r["vec_id"]: r["leaf"] for r in index.where(F.col("vec_id").isin([v for _, v in want])).select("vec_id", "leaf").collect()}
         order = {i: visits(tree, np.array(q, float), len(tree.leaves), rows_of, 0) for i, q in tried}
         while True:
-            seen = {i: set(o[:most]) for i, o in order.items()}
-            recall = sum(leaf_of_id[v] in seen[i] for i, v in want) / max(len(want), 1)
+            seen = {i: set(group_of[o[:most]].tolist()) for i, o in order.items()}
+            recall = sum(int(group_of[leaf_of_id[v]]) in seen[i] for i, v in want) / max(len(want), 1)
             if recall >= params.recall or most >= len(tree.leaves):
                 break
             most = min(most * 2, len(tree.leaves))

@@ -81,3 +81,17 @@ def test_vectors_whose_squares_overflow_are_found(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {(r.query_id, r.vec_id): r.score for r in ann.nearest_neighbours(df, F.col("vec_id") == 0)[0].collect()}
     assert got == pytest.approx({(0, 1): 2**0.5 * 1e200, (0, 2): 20**0.5 * 1e200, (0, 100): 2e200})
+
+
+def test_a_query_meets_groups_of_leaves_not_each_leaf(spark):
+    x = np.array([v for _, v in clustered(800, 6)])
+    tree = ann.grown(x, SMALL)
+    rows_of = np.bincount(ann.leaf_of(tree, x), minlength=len(tree.children))
+    group_of = ann.grouped(tree, rows_of, 200)
+    held = np.bincount(group_of[tree.leaves], rows_of[tree.leaves])
+    assert len(tree.leaves) > 60 and held.sum() == 800 and held.max() <= 200 and len(held) <= 8
+    assert (group_of >= 0).sum() == len(tree.leaves)
+    queries = spark.createDataFrame([(i, x[i].tolist()) for i in range(20)], "vec_id long, v array<double>")
+    blocks = np.ones(len(held), int)
+    met = [ann.asked(queries, tree, rows_of, group_of, blocks, len(tree.leaves), 6, later).select("query_id", "leaf_group").collect() for later in (False, True)]
+    assert sorted(map(tuple, met[0] + met[1])) == [(i, g) for i in range(20) for g in range(len(held))]
