@@ -115,3 +115,31 @@ def test_fitting_grains(history):
     scopes = {"": (), "_k": ("k",)}
     assert S.fitting_grains(history, scopes, "d", limit=10**6) == {"": "year", "_k": "year"}
     assert S.fitting_grains(history, scopes, "d", limit=10) == {"": "day", "_k": "day"}
+
+
+def test_expanding_stats_go_through_a_chunk_once(spark, monkeypatch):
+    """No frame that grows row by row, and no starts for a key of some thousand rows."""
+    import statistics
+
+    starts, own = [], S._chunk_start
+    monkeypatch.setattr(S, "_chunk_start", lambda *args: starts.append(own(*args)) or starts[-1])
+    df = spark.range(6000).selectExpr("id AS idx", "1 AS k", "id * 7919 % 6000 AS v")
+    out = S.expanding_stats(df, S.Expanding("v", ("k",), ("idx",), F.col("idx"), {"median": "med", "max": "hi"}))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert starts == [None] and "MapInArrow" in plan and "percentile" not in plan
+    v = [i * 7919 % 6000 for i in range(6000)]
+    got = {r.idx: (r.med, r.hi) for r in out.collect()}
+    assert all(got[i] == (statistics.median(v[: i + 1]), max(v[: i + 1])) for i in range(0, 6000, 123))
+
+
+def test_rows_without_a_key_need_not_meet(spark):
+    df = spark.range(4000).selectExpr("id AS idx", "CAST(NULL AS INT) AS k", "id AS v")
+    out = S.expanding_stats(df, S.Expanding("v", ("k",), ("idx",), F.col("idx"), {"median": "med"}))
+    assert "pmod(xxhash64(idx" in out._jdf.queryExecution().optimizedPlan().toString()  # dealt by their order, not as one group
+    assert out.count() == 4000 and out.where("med IS NOT NULL").count() == 0
+
+
+def test_half_of_a_start_is_cut_to_what_a_chunk_can_reach():
+    assert S._halves([(1, 2), (5, 1), (9, 2)], 5, 100) == ([-5, -1, -1], [9, 9])
+    low, high = S._halves([(0, 10**9), (3, 4), (7, 10**9)], 2 * 10**9 + 4, 6)
+    assert low == [-3, -3, 0, 0, 0] and high == [3, 3, 7, 7, 7]
