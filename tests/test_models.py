@@ -236,6 +236,31 @@ def test_neighbours_equal_all_pairs_and_skip_blocks(spark, k, block):
         assert counts["met"] < counts["pairs"] / 2
 
 
+def test_training_blocks_travel_once_for_few_rows(spark, monkeypatch):
+    """However many blocks the rows to score lie in, each training block meets them in one row."""
+    _, df = clusters(spark, 300, 3)
+    model = neighbours.Neighbours("y", ["id"], 400, 30).fit_on(df, F.col("x"))
+    met = spark.sparkContext.accumulator(0)
+    own = neighbours.nearest
+    monkeypatch.setattr(neighbours, "nearest", lambda *a: (met.add(1), own(*a))[1])
+    found, counts = model.searched(df.where("id % 15 = 0").select(F.col("id").alias("__row"), "x"))
+    assert found.count() == 20 * 300
+    assert counts["met"] > 2 * model.stored.count() >= met.value > 0
+
+
+def test_near_pivots_of_many_are_in_the_nearest_group():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 100, (40, 6))
+    pivots = centres[rng.integers(0, 40, 1500)] + rng.normal(0, 1, (1500, 6))
+    pivots[700:720] = pivots[3]
+    x = pivots + rng.normal(0, 0.01, pivots.shape)
+    got = neighbours.nearest_pivot(pivots)(x)
+    own = np.sqrt(((pivots[got] - x) ** 2).sum(axis=1))
+    best = np.sqrt(neighbours.roughly(x, pivots).min(axis=1))
+    assert (got < 1500).all() and np.isclose(own, best, atol=1e-4).mean() > 0.9
+    assert (neighbours.nearest_pivot(pivots[:200])(x) == neighbours.roughly(x, pivots[:200]).argmin(axis=1)).all()
+
+
 def test_votes_keep_columns_and_rows_without_features(spark):
     train = spark.createDataFrame([(1, 1, [0.0]), (2, 0, [9.0]), (3, None, [0.0]), (None, 1, [0.0])], "id long, y long, x array<double>")
     test = spark.createDataFrame([("n", [1.0]), ("m", None)], "name string, x array<double>")
