@@ -100,14 +100,17 @@ def numbered(parts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, known = None, {}
         for batch in batches:
-            for bucket, shard, words in zip(*(batch.column(c).to_pylist() for c in ("bucket", "shard", "words"))):
+            found = {"ids": [], "fresh": []}
+            for bucket, words in zip(batch.column("bucket").to_pylist(), batch.column("words")):
                 if bucket != at:
                     at, known = bucket, {}
                 old = len(known)
-                ids = [known.setdefault(w, len(known)) for w in words.split(" ")]
-                fresh = [*islice(reversed(known), len(known) - old)][::-1]
-                lists = [one(pa.array(ids, pa.int32())), one(pa.array(fresh, pa.string()))]
-                yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([shard]), *lists], ["bucket", "shard", "ids", "fresh"])
+                ids = [known.setdefault(w, len(known)) for w in words.as_py().split(" ")]
+                found["ids"].append(one(pa.array(ids, pa.int32())))
+                found["fresh"].append(one(pa.array([*islice(reversed(known), len(known) - old)][::-1], pa.string())))
+            lists = [pa.concat_arrays(x) for x in found.values() if x]
+            if lists:
+                yield pa.RecordBatch.from_arrays([batch.column("bucket"), batch.column("shard"), *lists], ["bucket", "shard", "ids", "fresh"])
 
     dealt = parts.repartition("bucket").sortWithinPartitions("bucket", "shard")
     return dealt.mapInArrow(run, "bucket bigint, shard bigint, ids array<int>, fresh array<string>")
@@ -124,7 +127,7 @@ def document_terms(
     buckets that one has about ``bucket_words`` entries, and go back as numbers; a frequent word is
     one entry per shard at most.
     """
-    local = cut_lineage(local_shards(docs, params.shard_bytes, measure, measured))
+    local = cut_lineage(local_shards(docs, params.shard_bytes, measure, measured), group_bytes=params.shard_bytes)
     entries = local.agg(F.coalesce(F.sum(F.size("words").cast("long")), F.lit(0))).first()[0]
     known = cut_lineage(numbered(pieces(local, max(1, -(-entries // params.bucket_words)))))
     # one row per bucket meets in one task
@@ -152,22 +155,18 @@ def document_terms(
 
 
 def row_sums(shards: DataFrame) -> DataFrame:
-    """Per matrix row: the columns in ``rows``, ``n_words`` (row sum), ``n_distinct`` (nonzero cells)."""
-    row = shards.schema["rows"].dataType.elementType
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in row) + ", n_words bigint, n_distinct bigint"
+    """Per matrix row: the columns in ``rows``, ``n_words`` (row sum), ``n_distinct`` (nonzero cells).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                indptr, counts = (batch.column(c)[i].values.to_numpy().astype(np.int64) for c in ("indptr", "counts"))
-                total = np.concatenate([[0], np.cumsum(counts)])[indptr]
-                rows = batch.column("rows")[i].values
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.flatten(), pa.array(np.diff(total)), pa.array(np.diff(indptr))],
-                    [*[f.name for f in row], "n_words", "n_distinct"],
-                )
-
-    return shards.select("rows", "indptr", "indices", "counts").mapInArrow(run, schema)
+    In expressions, so that no second Python worker stands beside the one that made the shards.
+    """
+    fields = shards.schema["rows"].dataType.elementType.names
+
+    def sums(row: Column, i: Column) -> Column:
+        first, cells = F.get("indptr", i), F.get("indptr", i + 1) - F.get("indptr", i)
+        total = F.aggregate(F.slice("counts", first + 1, cells), F.lit(0).cast("long"), lambda acc, n: acc + n)
+        return F.struct(*[row[f].alias(f) for f in fields], total.alias("n_words"), cells.cast("long").alias("n_distinct"))
+
+    return shards.select(F.inline(F.transform("rows", sums)))
 
 
 # --- the audit --------------------------------------------------------------------------------

@@ -2,7 +2,9 @@ import random
 import re
 from itertools import permutations
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from panelcast.llm import filter_audit as audit
 
@@ -97,3 +99,21 @@ def test_empty_tables_and_other_columns(spark):
     found = audit.audit(spark.createDataFrame(rows, schema), labels).collect()
     assert len(found) == 600 and {r.part for r in found} == {""}
     assert sum(r.shapley for r in found if r.filter_order == "ABCDE") == 120
+
+
+def test_stored_shards_are_read_one_at_a_time(spark, monkeypatch):
+    """A task that reads a stage holds a row group, so a row group must not hold many shards."""
+    stored, cut = [], audit.cut_lineage
+
+    def kept(df, *args, **named):
+        stored.append(cut(df, *args, **named))
+        return stored[-1]
+
+    monkeypatch.setattr(audit, "cut_lineage", kept)
+    text = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(2000)), lambda i: F.md5(F.concat_ws("-", i, "id"))))
+    docs = spark.range(60).coalesce(1).select(text.alias("text"), F.col("id").alias("doc_id"))
+    shards, words = audit.document_terms(docs, audit.AuditParams(shard_bytes=1 << 16))
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in stored[0].inputFiles()]
+    rows = [m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)]
+    assert sum(rows) == 60 and max(rows) <= 3
+    assert shards.count() == 60 and words.count() == 60 * 2001
