@@ -46,3 +46,15 @@ def test_analytical_set_runs(spark, tables):
 def test_left_join_composite_joins_all_plays_with_the_flagged_ones(spark, tables):
     got = agrees(spark, tables, "left_join_composite")
     assert set(got.columns) == {"showid", "songid", "jammed"} and set(got["jammed"]) == {0, 1}
+
+
+def test_score_next_is_the_whole_model_on_all_rows(monkeypatch):
+    from panelcast.params import ModelParams
+    from panelcast.plans import model_queries as m
+
+    asked = []
+    monkeypatch.setattr(m, "stored_sets", lambda spark, sf: ("past", "ahead"))
+    monkeypatch.setattr(m.M, "fit_and_score", lambda past, ahead, params: asked.append(params))
+    monkeypatch.setattr(m, "tidy", lambda df: df)
+    entry.queries()["score_next"](None, "")
+    assert asked == [ModelParams()] and asked[0].options["n_estimators"] == 555 and "max_depth" not in asked[0].options
