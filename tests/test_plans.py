@@ -58,3 +58,16 @@ def test_score_next_is_the_whole_model_on_all_rows(monkeypatch):
     monkeypatch.setattr(m, "tidy", lambda df: df)
     entry.queries()["score_next"](None, "")
     assert asked == [ModelParams()] and asked[0].options["n_estimators"] == 555 and "max_depth" not in asked[0].options
+
+
+@pytest.mark.parametrize("name", ["expanding_median", "lagged_period_join", "prev_period_gap_stats", "show_gap", "scope_gap_stats"])
+def test_gaps_are_made_for_the_asked_scopes_only(spark, tables, name):
+    """The occurrences with all stats are dealt out eleven times; no query on gaps needs them."""
+    from panelcast.plans import queries
+
+    queries.forget_builds()
+    agrees(spark, tables, name)
+    built = queries.build(spark, tables[0])
+    assert not {"play_stats", "jam_stats", "frame"} & built.__dict__.keys()
+    wanted = {"expanding_median": {"_state"}, "scope_gap_stats": {"", "_venue", "_run", "_tour", "_state"}}
+    assert built._scope_gaps.keys() == wanted.get(name, {""})
