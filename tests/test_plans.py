@@ -71,3 +71,13 @@ def test_gaps_are_made_for_the_asked_scopes_only(spark, tables, name):
     assert not {"play_stats", "jam_stats", "frame"} & built.__dict__.keys()
     wanted = {"expanding_median": {"_state"}, "scope_gap_stats": {"", "_venue", "_run", "_tour", "_state"}}
     assert built._scope_gaps.keys() == wanted.get(name, {""})
+
+
+@pytest.mark.parametrize("name", ["flagged_branch", "trailing_year"])
+def test_overall_gaps_need_no_recency_of_all_scopes(spark, tables, name):
+    from panelcast.plans import queries
+
+    queries.forget_builds()
+    agrees(spark, tables, name)
+    built = queries.build(spark, tables[0])
+    assert not {"play_stats", "frame", "recent"} & built.__dict__.keys()
